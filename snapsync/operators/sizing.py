@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate. Joins and unknown inputs are over-estimated, so a small
     number is safe to act on and a large one only means: take the way that scales."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_one_task(df: DataFrame, limit: int) -> bool:

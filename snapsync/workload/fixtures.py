@@ -355,7 +355,11 @@ FIXTURE_SQL["fx_feed"] = """
 
 
 def feed(spark, sf):
-    rows = table(spark, sf, "events").select(
+    return feed_of(table(spark, sf, "events"))
+
+
+def feed_of(events):
+    rows = events.select(
         _db("user_id").alias("source_db"),
         F.lit("VIEW").alias("type"),
         F.concat(F.lit("C"), F.col("user_id") % 7).alias("class_id"),
