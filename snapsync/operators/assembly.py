@@ -9,16 +9,17 @@ from snapsync.settings import Settings
 
 def _joined(order, text, separator=""):
     """Join the group's texts in order; the text itself settles what the order leaves open."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, text.alias("_text"))))
-    return F.array_join(F.transform(rows, lambda row: row["_text"]), separator)
+    rows = F.sort_array(F.collect_list(F.struct(*order, text.alias("_text"))))
+    return F.array_join(rows["_text"], separator)
 
 
 def nested_lines(lines: DataFrame, keys, line="line", ties=(), text="text") -> DataFrame:
     """One row per key with its lines as an ordered array<struct<line, text>>."""
-    rows = F.array_sort(F.collect_list(F.struct(line, *ties, text)))
-    return lines.groupBy(*keys).agg(
-        F.transform(rows, lambda row: F.struct(row[line].alias("line"), row[text].alias("text")))
-        .alias("lines")
+    rows = F.sort_array(F.collect_list(F.struct(line, *ties, text)))
+    return (
+        lines.repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.arrays_zip(rows[line].alias("line"), rows[text].alias("text")).alias("lines"))
     )
 
 
@@ -33,20 +34,23 @@ def assemble_text(
     """One text per key: every line in order, each followed by a line end; null lines are empty.
 
     Texts that reach beyond one block of line numbers are joined block by block in as many tasks,
-    then from their blocks. The others, nearly all, move once.
+    then from their blocks. The others, nearly all, move once. Lines are moved before they are
+    collected: collecting first would not make them fewer, only larger.
     """
     keys = list(keys)
     piece = F.concat(or_empty(F.col(text)), F.lit("\n"))
     long_keys = lines.where(F.col(line) >= lines_per_block).select(*keys).distinct()
     short = (
         lines.join(long_keys, keys, "left_anti")
+        .repartition(*keys)
         .groupBy(*keys)
         .agg(_joined([line, *ties], piece).alias("text"))
     )
-    block = F.floor(F.col(line) / lines_per_block)
     long = (
         lines.join(long_keys, keys, "left_semi")
-        .groupBy(*keys, block.alias("_block"))
+        .withColumn("_block", F.floor(F.col(line) / lines_per_block))
+        .repartition(*keys, "_block")
+        .groupBy(*keys, "_block")
         .agg(_joined([line, *ties], piece).alias("_block_text"))
         .groupBy(*keys)
         .agg(_joined(["_block"], F.col("_block_text")).alias("text"))

@@ -45,7 +45,7 @@ def changeset_messages(
     )
     message_no = F.floor((F.col("_position") - 1) / settings.names_per_message)
     classes = placed.groupBy(*groups, message_no.alias("message_no"), "class_id").agg(
-        F.array_join(F.array_sort(F.collect_list("short_name")), ", ").alias("_names")
+        F.array_join(F.sort_array(F.collect_list("short_name")), ", ").alias("_names")
     )
     listed = F.concat(F.col("class_id"), F.lit(" ["), F.col("_names"), F.lit("]"))
     return classes.groupBy(*groups, "message_no").agg(

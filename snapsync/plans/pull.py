@@ -5,8 +5,8 @@ A snapshot has (source_db, type, class_id, short_name, path, text), one row per
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapsync.functions.names import object_path
-from snapsync.functions.text import normalized_text
+from snapsync.functions.names import KIND_SUFFIXES, object_path
+from snapsync.functions.text import nonempty, normalized_text
 from snapsync.operators import diff, predicates
 from snapsync.operators.predicates import OBJECT_KEY
 from snapsync.settings import Settings
@@ -15,6 +15,7 @@ from snapsync.sources.catalog import Tables
 from snapsync.sources.tree import folder_name_sets, parts_wide, typed_files
 
 FILE_KEY = ("source_db", "path")
+WRITTEN_KINDS = ("METHOD", "VIEW", "TRIGGER")
 SNAPSHOT = (*OBJECT_KEY, "path", "text")
 
 
@@ -53,18 +54,41 @@ def export_parts(t: Tables, keys: DataFrame) -> DataFrame:
     return methods.unionByName(views).unionByName(triggers)
 
 
+def file_paths(keys: DataFrame) -> DataFrame:
+    """(source_db, path) of every file that objects of the given keys can have, packages excepted.
+    They follow from the names, so no text is read for them."""
+    dotted = {kind: [s.removeprefix(".") for s in KIND_SUFFIXES[kind]] for kind in WRITTEN_KINDS}
+    suffixes = F.create_map(
+        *[x for kind, ends in dotted.items() for x in (F.lit(kind), F.array(*map(F.lit, ends)))]
+    )
+    return keys.select(
+        "source_db",
+        "class_id",
+        "short_name",
+        F.explode(F.try_element_at(suffixes, F.col("type"))).alias("_suffix"),
+    ).select(
+        "source_db",
+        F.concat("class_id", F.lit("/"), "short_name", F.lit("."), "_suffix").alias("path"),
+    )
+
+
 def pull_all(t: Tables, snapshot: DataFrame, package_name: str | None = None) -> DataFrame:
     """The snapshot after a full pull: files of unknown kind and objects the source no longer has
-    are gone, the others hold the source's texts."""
+    are gone, the others hold the source's texts. Packages have no texts to pull and stay."""
     known = diff.drop_unknown(snapshot.select(*SNAPSHOT))
-    found = predicates.by_keys(catalog.catalog_objects(t, package_name), known).select(*OBJECT_KEY)
-    kept = predicates.by_keys(known, found)
-    return diff.upsert_with_delete(kept, export_parts(t, found), FILE_KEY)
+    found = predicates.by_keys(catalog.catalog_objects(t, package_name), known)
+    packages = predicates.by_keys(known.where("type = 'PACKAGE'"), found)
+    return _written(export_parts(t, found)).unionByName(packages)
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    return rows.where(nonempty(F.col("text")))
 
 
 def _pulled(t: Tables, snapshot: DataFrame, objects: DataFrame) -> DataFrame:
-    rows = export_parts(t, objects.select(*OBJECT_KEY))
-    return diff.upsert_with_delete(snapshot.select(*SNAPSHOT), rows, FILE_KEY)
+    """Files of the objects give way to their current texts; the rest of the snapshot stays."""
+    others = diff.remove_objects(snapshot.select(*SNAPSHOT), file_paths(objects), FILE_KEY)
+    return others.unionByName(_written(export_parts(t, objects)))
 
 
 def changed_objects(t: Tables, as_of: Column, last=None, interval=None, package_name=None):

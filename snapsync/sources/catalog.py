@@ -97,14 +97,14 @@ def last_action_time(objects: DataFrame, diary: DataFrame) -> DataFrame:
     )
 
 
-def _method_window(t: Tables, methods: DataFrame, bounds: DataFrame) -> DataFrame:
+def _method_window(diary: DataFrame, methods: DataFrame, bounds: DataFrame) -> DataFrame:
     """Add last, as_of and action_time.
 
     Diary entries before the earliest `last` cannot move a change into a window nor out of it, so
     the diary is cut where it is read.
     """
     earliest = bounds.agg(F.min("last")).scalar()
-    recent = t.method_diary.where(F.col("time") >= earliest)
+    recent = diary.where(F.col("time") >= earliest)
     return last_action_time(with_bounds(methods, bounds), recent)
 
 
@@ -146,14 +146,16 @@ def with_method_texts(t: Tables, methods: DataFrame) -> DataFrame:
 def method_rows(t: Tables, bounds, allowed, settings=Settings()) -> DataFrame:
     """Method parts that moved in the window, above the floor, by a listed user."""
     methods = by_allow_list(_above_common_floor(t.methods, bounds, settings), allowed)
-    found = _method_window(t, methods, bounds).where(_moved_in_window() & _floor(settings))
+    # Few methods are left, so the diary is cut to them before it is moved.
+    diary = t.method_diary.join(methods.select(*ID).distinct(), list(ID), "left_semi")
+    found = _method_window(diary, methods, bounds).where(_moved_in_window() & _floor(settings))
     return with_method_texts(t, found)
 
 
 def method_rows_or_folder(t, bounds, allowed, tree, settings=Settings()) -> DataFrame:
     """(window and floor and listed user) or named in the tree. Only sources with bounds count."""
     named = flagged(t.methods, folder_keys(tree, "METHOD"), NAME_KEY, "in_folder")
-    marked = with_allowed(_method_window(t, named, bounds), allowed)
+    marked = with_allowed(_method_window(t.method_diary, named, bounds), allowed)
     moved = _moved_in_window() & _floor(settings) & F.col("allowed")
     return with_method_texts(t, marked.where(moved | F.col("in_folder")))
 

@@ -17,8 +17,15 @@ FILE_SUFFIXES = (
 ).split()
 
 
+_SCHEMAS = {}
+
+
 def table(spark, sf, name):
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is read from the file once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _db(key):
