@@ -54,18 +54,16 @@ def kind_by_pieces(file_name: Column) -> Column:
 
 def suffixes(file_name: Column) -> Column:
     """Everything from the first dot that does not lead the name; '' when the name ends in a dot."""
-    return F.when(file_name.endswith("."), "").otherwise(
-        F.regexp_extract(file_name, r"^\.*[^.]*(\..*)$", 1)
-    )
+    return F.regexp_extract(file_name, r"^\.*[^.]*(\..*[^.])$", 1)
 
 
 def kind_by_suffix(file_name: Column) -> Column:
     """Kind from the whole suffix, case-sensitive; anything else is UNKNOWN."""
-    suffix = suffixes(file_name)
-    kind = F.lit("UNKNOWN")
-    for name, known in KIND_SUFFIXES.items():
-        kind = F.when(suffix.isin(*known), name).otherwise(kind)
-    return kind
+    kinds = [
+        (F.lit(suffix), F.lit(kind)) for kind, known in KIND_SUFFIXES.items() for suffix in known
+    ]
+    kind_of = F.create_map(*[c for pair in kinds for c in pair])
+    return F.coalesce(F.try_element_at(kind_of, suffixes(file_name)), F.lit("UNKNOWN"))
 
 
 def part_of_file(file_name: Column) -> Column:
@@ -94,10 +92,8 @@ def source_label(connection: Column) -> Column:
 
 
 def part_extension(part_type: Column) -> Column:
-    extension = F.lit(None).cast("string")
-    for kind, ext in PART_EXTENSIONS.items():
-        extension = F.when(part_type == kind, ext).otherwise(extension)
-    return extension
+    extensions = F.create_map(*[F.lit(x) for pair in PART_EXTENSIONS.items() for x in pair])
+    return F.try_element_at(extensions, part_type)
 
 
 def part_types() -> Column:

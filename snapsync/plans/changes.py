@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from snapsync.functions.text import nonblank, or_empty, view_text
+from snapsync.operators.predicates import OBJECT_KEY
+from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 from snapsync.sources import catalog
 from snapsync.sources.catalog import Tables
@@ -56,6 +58,8 @@ def window_or_folder(
 
 
 def changes_or_folder(t, bounds, allowed, tree, settings=Settings(), strict=False) -> DataFrame:
+    # Each kind needs its own names of the tree: written, so that the tree is listed once.
+    tree = written(tree.select(*OBJECT_KEY).distinct(), "tree")
     return _concat(
         [
             normalized_rows(

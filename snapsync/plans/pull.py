@@ -9,6 +9,7 @@ from snapsync.functions.names import KIND_SUFFIXES, object_path
 from snapsync.functions.text import nonempty, normalized_text
 from snapsync.operators import diff, predicates
 from snapsync.operators.predicates import OBJECT_KEY
+from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 from snapsync.sources import catalog
 from snapsync.sources.catalog import Tables
@@ -76,19 +77,22 @@ def pull_all(t: Tables, snapshot: DataFrame, package_name: str | None = None) ->
     """The snapshot after a full pull: files of unknown kind and objects the source no longer has
     are gone, the others hold the source's texts. Packages have no texts to pull and stay."""
     known = diff.drop_unknown(snapshot.select(*SNAPSHOT))
-    found = predicates.by_keys(catalog.catalog_objects(t, package_name), known)
+    # Keys are narrow and used once per kind: written, so that catalogue and tree are read once.
+    keys = predicates.by_keys(catalog.catalog_objects(t, package_name), known)
+    found = written(keys.select(*OBJECT_KEY).distinct(), "keys")
     packages = predicates.by_keys(known.where("type = 'PACKAGE'"), found)
-    return _written(export_parts(t, found)).unionByName(packages)
+    return _with_text(export_parts(t, found)).unionByName(packages)
 
 
-def _written(rows: DataFrame) -> DataFrame:
+def _with_text(rows: DataFrame) -> DataFrame:
     return rows.where(nonempty(F.col("text")))
 
 
 def _pulled(t: Tables, snapshot: DataFrame, objects: DataFrame) -> DataFrame:
     """Files of the objects give way to their current texts; the rest of the snapshot stays."""
-    others = diff.remove_objects(snapshot.select(*SNAPSHOT), file_paths(objects), FILE_KEY)
-    return others.unionByName(_written(export_parts(t, objects)))
+    keys = written(objects.select(*OBJECT_KEY).distinct(), "keys")
+    others = diff.remove_objects(snapshot.select(*SNAPSHOT), file_paths(keys), FILE_KEY)
+    return others.unionByName(_with_text(export_parts(t, keys)))
 
 
 def changed_objects(t: Tables, as_of: Column, last=None, interval=None, package_name=None):

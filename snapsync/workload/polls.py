@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from snapsync.functions.text import text_sha
 from snapsync.operators import changesets, diff
-from snapsync.operators.sizing import new_folder
+from snapsync.operators.sizing import new_folder, written
 from snapsync.plans import changes, poll, pull, store
 from snapsync.plans.store import Store
 from snapsync.sources import catalog, tree
@@ -109,7 +109,8 @@ CHANGES_OR_FOLDER = _all_kinds(METHOD_OR_FOLDER, VIEW_OR_FOLDER, TRIGGER_ROWS)
 
 
 def _inputs(spark, sf):
-    return fx.tables(spark, sf), fx.bounds(spark, sf), fx.allow(spark, sf)
+    """Tables, bounds and users; the bounds of a poll are a stored table."""
+    return fx.tables(spark, sf), written(fx.bounds(spark, sf), "bounds"), fx.allow(spark, sf)
 
 
 def _elements(spark, sf):
@@ -133,37 +134,32 @@ def trigger_rows(spark, sf):
 
 @query("window_or_folder_method", METHOD_OR_FOLDER)
 def window_or_folder_method(spark, sf):
-    return changes.window_or_folder(
-        fx.tables(spark, sf), "METHOD", *_inputs(spark, sf)[1:], _elements(spark, sf)
-    )
+    t, bounds, allowed = _inputs(spark, sf)
+    return changes.window_or_folder(t, "METHOD", bounds, allowed, _elements(spark, sf))
 
 
 @query("window_or_folder_view", VIEW_OR_FOLDER)
 def window_or_folder_view(spark, sf):
-    return changes.window_or_folder(
-        fx.tables(spark, sf), "VIEW", *_inputs(spark, sf)[1:], _elements(spark, sf)
-    )
+    t, bounds, allowed = _inputs(spark, sf)
+    return changes.window_or_folder(t, "VIEW", bounds, allowed, _elements(spark, sf))
 
 
 @query("window_or_folder_trigger", TRIGGER_ROWS)
 def window_or_folder_trigger(spark, sf):
-    return changes.window_or_folder(
-        fx.tables(spark, sf), "TRIGGER", *_inputs(spark, sf)[1:], _elements(spark, sf)
-    )
+    t, bounds, allowed = _inputs(spark, sf)
+    return changes.window_or_folder(t, "TRIGGER", bounds, allowed, _elements(spark, sf))
 
 
 @query("window_or_folder_view_strict", VIEW_OR_FOLDER_STRICT)
 def window_or_folder_view_strict(spark, sf):
-    return changes.window_or_folder(
-        fx.tables(spark, sf), "VIEW", *_inputs(spark, sf)[1:], _elements(spark, sf), strict=True
-    )
+    t, bounds, allowed = _inputs(spark, sf)
+    return changes.window_or_folder(t, "VIEW", bounds, allowed, _elements(spark, sf), strict=True)
 
 
 @query("window_or_folder_trigger_strict", TRIGGER_OR_FOLDER_STRICT)
 def window_or_folder_trigger_strict(spark, sf):
-    return changes.window_or_folder(
-        fx.tables(spark, sf), "TRIGGER", *_inputs(spark, sf)[1:], _elements(spark, sf), strict=True
-    )
+    t, bounds, allowed = _inputs(spark, sf)
+    return changes.window_or_folder(t, "TRIGGER", bounds, allowed, _elements(spark, sf), strict=True)
 
 
 @query(
