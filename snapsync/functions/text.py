@@ -46,7 +46,8 @@ def line_slice(c: Column) -> Column:
     """The n lines that follow line 2, where line 2 holds n; null when it holds no number."""
     lines = F.split(c, "\n")
     n = F.trim(F.get(lines, F.lit(1))).try_cast("int")
-    return F.array_join(F.slice(lines, F.lit(3), F.greatest(n, F.lit(0))), "\n")
+    length = F.when(n < 0, 0).otherwise(n)
+    return F.array_join(F.slice(lines, F.lit(3), length), "\n")
 
 
 def text_sha(c: Column) -> Column:

@@ -1,6 +1,7 @@
 """File trees of the form folder/name.ext: listing, reading, writing."""
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,29 +12,29 @@ from snapsync.operators.predicates import outside_folders
 from snapsync.settings import Settings
 
 
-def list_tree(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, file) of all files exactly two levels deep. Only names are read, no contents.
-    Spark does not list names that start with a dot or an underscore."""
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """Files exactly two levels below root, with folder and file name. Spark does not list files
+    whose names start with a dot or an underscore."""
     pieces = F.split("path", "/")
+    folder, file = F.element_at(pieces, -2), F.element_at(pieces, -1)
+    inside = re.sub(r"^\w+:/+", "/", root.rstrip("/"))
     return (
         spark.read.format("binaryFile")
-        .load(f"{root}/*/*")
-        .select(F.element_at(pieces, -2).alias("folder"), F.element_at(pieces, -1).alias("file"))
+        .load(f"{root.rstrip('/')}/*/*")
+        .withColumns({"folder": folder, "file": file})
+        .where(F.col("path").endswith(F.concat_ws("/", F.lit(inside), "folder", "file")))
     )
 
 
+def list_tree(spark: SparkSession, root: str) -> DataFrame:
+    """(folder, file) of a tree. Only names are read, no contents."""
+    return _files(spark, root).select("folder", "file")
+
+
 def read_tree(spark: SparkSession, root: str, encoding="utf8") -> DataFrame:
     """(folder, file, text) with whole texts."""
-    pieces = F.split("path", "/")
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{root}/*/*")
-        .select(
-            F.element_at(pieces, -2).alias("folder"),
-            F.element_at(pieces, -1).alias("file"),
-            decoded(F.col("content"), encoding).alias("text"),
-        )
-    )
+    text = decoded(F.col("content"), encoding).alias("text")
+    return _files(spark, root).select("folder", "file", text)
 
 
 def decoded(content: Column, encoding: str) -> Column:

@@ -458,13 +458,21 @@ def poll_mode(spark, sf):
 
 @query(
     "poll_idempotent",
-    """select * from fx_feed where false""",
+    """with second as (
+           select f.* from fx_feed f join fx_control c on f.source_db = c.source_db
+           where f.modified >= c.high_water
+           qualify row_number() over (partition by f.source_db, path order by modified desc) = 1)
+       select s.source_db, s.path, s.modified, s.text from second s left join fx_baseline b
+         on s.source_db = b.source_db and s.path = b.path
+       where s.text is distinct from b.text""",
 )
 def poll_idempotent(spark, sf):
-    """Rows that a second poll of the same feed finds changed: none."""
-    first = poll.newest_per_path(fx.feed(spark, sf))
-    stored = first.select("source_db", "path", text_sha(F.col("text")).alias("text_sha"))
-    return diff.changed_vs_baseline(first, stored, ["source_db", "path"])
+    """What a second poll finds that starts at the first one's mark. The row on the mark is read
+    again; where it is still the newest of its file it equals the snapshot and vanishes."""
+    marks = fx.control(spark, sf).select("source_db", F.col("high_water").alias("last"))
+    rows = fx.feed(spark, sf).join(marks, "source_db").where(F.col("modified") >= F.col("last"))
+    newest = poll.newest_per_path(rows).select("source_db", "path", "modified", "text")
+    return diff.changed_vs_baseline(newest, fx.baseline(spark, sf), ["source_db", "path"])
 
 
 @query(
