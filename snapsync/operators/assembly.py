@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from snapsync.functions.text import or_empty
-from snapsync.operators.ordering import number_rows
+from snapsync.operators.ordering import number_parts
 from snapsync.settings import Settings
 
 
@@ -68,8 +68,7 @@ def list_names(
     """
     groups = list(groups)
     distinct = df.select(*groups, name).where(F.col(name).isNotNull()).distinct()
-    placed = number_rows(distinct, groups, [name], "_position", how)
-    part_no = F.floor((F.col("_position") - 1) / per_row)
-    return placed.groupBy(*groups, part_no.alias("part_no")).agg(
+    parts = number_parts(distinct, groups, [name], per_row, "part_no", how)
+    return parts.groupBy(*groups, "part_no").agg(
         _joined([name], F.col(name), separator).alias("names")
     )

@@ -5,9 +5,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from snapsync.functions.times import author_time
 from snapsync.operators.assembly import _joined
 from snapsync.operators.joins import join_null_safe
-from snapsync.operators.ordering import number_rows, number_runs
+from snapsync.operators.ordering import in_one_task, number_parts, number_runs
+from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 
+OBJECT = ("class_id", "short_name")
 # Tie-break below `modified`, so that islands do not depend on the order of reading.
 TIES = ("type", "class_id", "short_name", "extention")
 
@@ -34,17 +36,14 @@ def changeset_messages(
     A message lists up to `names_per_message` objects; a larger group has further rows, counted by
     `message_no` from 0, so that no list is ever cut and none outgrows a task.
     """
-    groups = list(groups)
-    distinct = (
-        objects.select(*groups, "class_id", "short_name")
-        .where(F.col("class_id").isNotNull())
-        .distinct()
-    )
-    placed = number_rows(
-        distinct, groups, ["class_id", F.asc_nulls_first("short_name")], "_position", how
-    )
-    message_no = F.floor((F.col("_position") - 1) / settings.names_per_message)
-    classes = placed.groupBy(*groups, message_no.alias("message_no"), "class_id").agg(
+    return _messages(objects.select(*groups, *OBJECT).distinct(), list(groups), settings, how)
+
+
+def _messages(distinct: DataFrame, groups, settings: Settings, how) -> DataFrame:
+    order = ["class_id", F.asc_nulls_first("short_name")]
+    named = distinct.where(F.col("class_id").isNotNull())
+    parts = number_parts(named, groups, order, settings.names_per_message, "message_no", how)
+    classes = parts.groupBy(*groups, "message_no", "class_id").agg(
         F.array_join(F.sort_array(F.collect_list("short_name")), ", ").alias("_names")
     )
     listed = F.concat(F.col("class_id"), F.lit(" ["), F.col("_names"), F.lit("]"))
@@ -70,15 +69,17 @@ def changesets(
     """One row per change set and message part, from rows that carry their island number."""
     groups = list(groups)
     shift = F.lit(0) if shift_days is None else shift_days
-    objects = islands.groupBy(*groups, "class_id", "short_name").agg(
+    objects = islands.groupBy(*groups, *OBJECT).agg(
         F.min("user_modified").alias("_author"),
         F.min("modified").alias("_time"),
         F.count(F.lit(1)).alias("_n"),
     )
+    if not in_one_task(objects, how):
+        objects = written(objects, "objects")
     facts = objects.groupBy(*groups).agg(
         F.min("_author").alias("_author"), F.min("_time").alias("_time"), F.sum("_n").alias("_n")
     )
-    messages = changeset_messages(objects, groups, settings, how)
+    messages = _messages(objects.select(*groups, *OBJECT), groups, settings, how)
     author = author_name(F.col("_author"), settings)
     return join_null_safe(facts, messages, groups, "left").select(
         *groups,

@@ -19,7 +19,8 @@ ROW, SLICE = "_row", "_slice"
 PARTITION_BIT = 33
 
 
-def _in_window(df: DataFrame, how: str) -> bool:
+def in_one_task(df: DataFrame, how: str) -> bool:
+    """May one task hold a whole group of df?"""
     if how not in ("auto", "window", "ranges"):
         raise ValueError(f"unknown way: {how}")
     return how == "window" or (how == "auto" and fits_one_task(df, Settings.one_task_bytes))
@@ -45,7 +46,7 @@ def _earlier_slices(groups):
 
 def number_rows(df, groups, order, alias="position", how="auto") -> DataFrame:
     """Add the 1-based position of each row in its group."""
-    if _in_window(df, how):
+    if in_one_task(df, how):
         position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
         return df.withColumn(alias, position.cast("bigint"))
     rows = _ranges(df, groups, order)
@@ -62,10 +63,33 @@ def number_rows(df, groups, order, alias="position", how="auto") -> DataFrame:
     )
 
 
+def number_parts(df, groups, order, size: int, alias="part_no", how="auto") -> DataFrame:
+    """Cut each group into parts of `size` rows in order, counted from 0.
+
+    Of larger input only the groups with more rows than that are ranked.
+    """
+    if in_one_task(df, how):
+        placed = number_rows(df, groups, order, "_position", "window")
+        return placed.withColumn(alias, _part("_position", size)).drop("_position")
+    rows = written(df, "parts")
+    large = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+    large = large.drop("_n")
+    one = join_null_safe(rows, large, groups, "left_anti")
+    many = join_null_safe(rows, large, groups, "left_semi")
+    placed = number_rows(many, groups, order, "_position", "ranges")
+    return one.withColumn(alias, F.lit(0).cast("bigint")).unionByName(
+        placed.withColumn(alias, _part("_position", size)).drop("_position")
+    )
+
+
+def _part(position: str, size: int) -> Column:
+    return F.floor((F.col(position) - 1) / size)
+
+
 def with_previous(df, groups, order, value: Column, alias="previous", how="auto") -> DataFrame:
     """Add struct<value> of the row before in the group; null struct on the first row."""
     boxed = F.struct(value.alias("value"))
-    if _in_window(df, how):
+    if in_one_task(df, how):
         return df.withColumn(alias, F.lag(boxed).over(Window.partitionBy(*groups).orderBy(*order)))
     rows = _ranges(df, groups, order)
     slices = (
@@ -85,7 +109,7 @@ def with_previous(df, groups, order, value: Column, alias="previous", how="auto"
 def number_runs(df, groups, order, value: Column, alias="run", how="auto") -> DataFrame:
     """Number, from 1 in each group, the runs of consecutive rows with equal (or both null) value."""
     boxed = F.struct(value.alias("value"))
-    if _in_window(df, how):
+    if in_one_task(df, how):
         w = Window.partitionBy(*groups).orderBy(*order)
         return (
             df.withColumn("_starts", (~F.lag(boxed).over(w).eqNullSafe(boxed)).cast("bigint"))
