@@ -21,6 +21,7 @@ from snapsync.operators.predicates import (
     in_window,
     with_allowed,
 )
+from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 
 ID = ("source_db", "id")
@@ -143,13 +144,21 @@ def with_method_texts(t: Tables, methods: DataFrame) -> DataFrame:
     )
 
 
+def _chosen(methods: DataFrame) -> DataFrame:
+    """Written, as the methods lead both to the lines and to the rows: diary and tree are read once,
+    and the join with the lines knows how few methods are left."""
+    return written(
+        methods.select(*ID, "class_id", "short_name", "modified", "user_modified"), "methods"
+    )
+
+
 def method_rows(t: Tables, bounds, allowed, settings=Settings()) -> DataFrame:
     """Method parts that moved in the window, above the floor, by a listed user."""
     methods = by_allow_list(_above_common_floor(t.methods, bounds, settings), allowed)
     # Few methods are left, so the diary is cut to them before it is moved.
     diary = t.method_diary.join(methods.select(*ID).distinct(), list(ID), "left_semi")
     found = _method_window(diary, methods, bounds).where(_moved_in_window() & _floor(settings))
-    return with_method_texts(t, found)
+    return with_method_texts(t, _chosen(found))
 
 
 def method_rows_or_folder(t, bounds, allowed, tree, settings=Settings()) -> DataFrame:
@@ -157,7 +166,7 @@ def method_rows_or_folder(t, bounds, allowed, tree, settings=Settings()) -> Data
     named = flagged(t.methods, folder_keys(tree, "METHOD"), NAME_KEY, "in_folder")
     marked = with_allowed(_method_window(t.method_diary, named, bounds), allowed)
     moved = _moved_in_window() & _floor(settings) & F.col("allowed")
-    return with_method_texts(t, marked.where(moved | F.col("in_folder")))
+    return with_method_texts(t, _chosen(marked.where(moved | F.col("in_folder"))))
 
 
 # --- views -------------------------------------------------------------------------------------
