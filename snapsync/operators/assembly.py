@@ -7,7 +7,7 @@ from snapsync.operators.ordering import number_parts
 from snapsync.settings import Settings
 
 
-def _joined(order, text, separator=""):
+def joined_in_order(order, text, separator=""):
     """Join the group's texts in order; the text itself settles what the order leaves open."""
     rows = F.sort_array(F.collect_list(F.struct(*order, text.alias("_text"))))
     return F.array_join(rows["_text"], separator)
@@ -44,16 +44,16 @@ def assemble_text(
         lines.join(long_keys, keys, "left_anti")
         .repartition(*keys)
         .groupBy(*keys)
-        .agg(_joined([line, *ties], piece).alias("text"))
+        .agg(joined_in_order([line, *ties], piece).alias("text"))
     )
     long = (
         lines.join(long_keys, keys, "left_semi")
         .withColumn("_block", F.floor(F.col(line) / lines_per_block))
         .repartition(*keys, "_block")
         .groupBy(*keys, "_block")
-        .agg(_joined([line, *ties], piece).alias("_block_text"))
+        .agg(joined_in_order([line, *ties], piece).alias("_block_text"))
         .groupBy(*keys)
-        .agg(_joined(["_block"], F.col("_block_text")).alias("text"))
+        .agg(joined_in_order(["_block"], F.col("_block_text")).alias("text"))
     )
     return short.unionByName(long)
 
@@ -70,5 +70,5 @@ def list_names(
     distinct = df.select(*groups, name).where(F.col(name).isNotNull()).distinct()
     parts = number_parts(distinct, groups, [name], per_row, "part_no", how)
     return parts.groupBy(*groups, "part_no").agg(
-        _joined([name], F.col(name), separator).alias("names")
+        joined_in_order([name], F.col(name), separator).alias("names")
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapsync.functions.times import author_time
-from snapsync.operators.assembly import _joined
+from snapsync.operators.assembly import joined_in_order
 from snapsync.operators.joins import join_null_safe
 from snapsync.operators.ordering import in_one_task, number_parts, number_runs
 from snapsync.operators.sizing import written
@@ -48,7 +48,7 @@ def _messages(distinct: DataFrame, groups, settings: Settings, how) -> DataFrame
     )
     listed = F.concat(F.col("class_id"), F.lit(" ["), F.col("_names"), F.lit("]"))
     return classes.groupBy(*groups, "message_no").agg(
-        F.concat(F.lit(settings.message_prefix), _joined(["class_id"], listed, ", ")).alias(
+        F.concat(F.lit(settings.message_prefix), joined_in_order(["class_id"], listed, ", ")).alias(
             "message"
         )
     )

@@ -23,7 +23,7 @@ def normalized_rows(rows: DataFrame, kind: str) -> DataFrame:
     return rows.where(nonblank(F.col("text"))).withColumn("type", F.lit(kind))
 
 
-def _concat(frames) -> DataFrame:
+def concat_kinds(frames) -> DataFrame:
     """Union by name; a column that one kind lacks is null there."""
     first, *rest = frames
     for frame in rest:
@@ -42,7 +42,7 @@ def changes_of_kind(t: Tables, kind, bounds, allowed, settings=Settings()) -> Da
 
 
 def changes_all(t: Tables, bounds, allowed, settings=Settings()) -> DataFrame:
-    return _concat([changes_of_kind(t, kind, bounds, allowed, settings) for kind in KINDS])
+    return concat_kinds([changes_of_kind(t, kind, bounds, allowed, settings) for kind in KINDS])
 
 
 def window_or_folder(
@@ -60,7 +60,7 @@ def window_or_folder(
 def changes_or_folder(t, bounds, allowed, tree, settings=Settings(), strict=False) -> DataFrame:
     # Each kind needs its own names of the tree: written, so that the tree is listed once.
     tree = written(tree.select(*OBJECT_KEY).distinct(), "tree")
-    return _concat(
+    return concat_kinds(
         [
             normalized_rows(
                 window_or_folder(t, kind, bounds, allowed, tree, settings, strict), kind

@@ -11,7 +11,7 @@ from snapsync.sources import catalog, tree
 from snapsync.streaming.capture import capture_stream, first_seen
 from snapsync.workload import fixtures as fx
 from snapsync.workload.registry import query
-from snapsync.workload.scans import _METHOD_TEXTS, CATALOG4
+from snapsync.workload.scans import METHOD_TEXTS, CATALOG4
 
 NONBLANK = (
     r"regexp_matches(text, '[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -35,7 +35,7 @@ _IN_TREE = """exists (select 1 from fx_wanted_files f where f.type = '{kind}'
 def _method_rows(where):
     return f"""
         with chosen as (select * from ({_MOVED_METHODS}) c where {where}),
-        texts as ({_METHOD_TEXTS.format(methods='chosen')})
+        texts as ({METHOD_TEXTS.format(methods='chosen')})
         select c.source_db, c.class_id, c.short_name, modified, user_modified,
                t.part as extention, coalesce(text, '') as text
         from chosen c join texts t on c.source_db = t.source_db and c.class_id = t.class_id
@@ -203,7 +203,7 @@ def concat_kinds(spark, sf):
     key = ["source_db", "class_id", "short_name", "modified"]
     views = fx.criteria(spark, sf).select(*key, F.lit("V").alias("kind"))
     methods = fx.methods(spark, sf).select(*key, "package_name", F.lit("M").alias("kind"))
-    return changes._concat([views, methods])
+    return changes.concat_kinds([views, methods])
 
 
 # --- comparison with a snapshot ----------------------------------------------------------------
@@ -257,7 +257,7 @@ def _export(keys, catalog_class="substr(t.table_name, 3)"):
     return f"""
         select source_db, 'METHOD' as type, class_id, short_name,
                class_id || '/' || short_name || '.' || part || '.sql' as path, text
-        from ({_METHOD_TEXTS.format(methods=f'''(select m.* from fx_methods m join {keys} k
+        from ({METHOD_TEXTS.format(methods=f'''(select m.* from fx_methods m join {keys} k
               on k.type = 'METHOD' and k.source_db = m.source_db and k.class_id = m.class_id
               and k.short_name = m.short_name)''')})
         union all
@@ -358,7 +358,7 @@ def pull_since(spark, sf):
     f"""with named as (select m.* from fx_methods m where exists (
              select 1 from fx_wanted_files f where f.source_db = m.source_db
              and f.folder = m.class_id and f.short_name = m.short_name)),
-        texts as ({_METHOD_TEXTS.format(methods='named')})
+        texts as ({METHOD_TEXTS.format(methods='named')})
         select source_db, class_id, short_name, part as extention,
                regexp_replace(text, '[ \\t\\r\\f\\x0B]*\\n', chr(13) || chr(10), 'g') as text
         from texts where text <> ''""",

@@ -114,7 +114,7 @@ def folder_name_sets_ranges(spark, sf):
     )
 
 
-_METHOD_TEXTS = """
+METHOD_TEXTS = """
     select m.source_db, m.class_id, m.short_name, e.part,
            string_agg(coalesce(l.text, '') || chr(10), '' order by line, tie1, tie2, l.text nulls first)
                filter (l.id is not null) as text
@@ -130,7 +130,7 @@ max(text) filter (part = 'script') as script"
 
 @query(
     "parts_wide",
-    f"""with parts as ({_METHOD_TEXTS.format(methods='fx_methods')})
+    f"""with parts as ({METHOD_TEXTS.format(methods='fx_methods')})
         select source_db, class_id, short_name, {_WIDE} from parts group by 1, 2, 3""",
 )
 def parts_wide(spark, sf):
@@ -149,7 +149,7 @@ def parts_wide(spark, sf):
     "parts_one_method",
     f"""with one as (select * from fx_methods
              qualify row_number() over (partition by source_db order by modified desc, id) = 1),
-        parts as ({_METHOD_TEXTS.format(methods='one')})
+        parts as ({METHOD_TEXTS.format(methods='one')})
         select source_db, class_id, short_name, {_WIDE} from parts where text <> ''
         group by 1, 2, 3""",
 )
@@ -279,7 +279,7 @@ def normalized_texts(spark, sf):
 @query(
     "parts_long",
     f"""select source_db, class_id, short_name, part, text
-        from ({_METHOD_TEXTS.format(methods='fx_methods')}) where text <> ''""",
+        from ({METHOD_TEXTS.format(methods='fx_methods')}) where text <> ''""",
 )
 def parts_long(spark, sf):
     return tree.parts_long(parts_wide(spark, sf), ("source_db", "class_id", "short_name"))

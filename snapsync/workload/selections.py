@@ -102,7 +102,7 @@ def select_by_folder(spark, sf):
 def nonblank_text(spark, sf):
     source = F.col("source")
     text = (
-        F.when(source == "src3", "  \n")
+        F.when(source == "src3", "\u00a0\u2003\n")
         .when(source == "src4", "")
         .when(source == "src5", None)
         .when(source == "src6", F.concat(F.lit("  "), "text"))
