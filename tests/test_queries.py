@@ -16,7 +16,7 @@ SAMPLE = (
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize(
-    "name", list(entry_points.queries()) if os.environ.get("SNAPSYNC_ALL") else SAMPLE
+    "name", list(entry_points.QUERIES) if os.environ.get("SNAPSYNC_ALL") else SAMPLE
 )
 def test_query_equals_its_sql(spark, name):
     status, _, _, detail = compare(spark, connect(SF), SF, name)
@@ -24,7 +24,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) >= set(entry_points.QUERIES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
