@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import licences, packing, quality
+from . import contamination, exact, licences, packing, quality
 from .common import table
 
 QUERIES = {}
@@ -20,6 +20,37 @@ def query(name, sql=None):
     return register
 
 
+@query(
+    "op2_exact_dedup",
+    r"""with n as (
+  select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
+  from documents),
+g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from n group by 1)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256
+from n join g using (text_sha256)""",
+)
+def op2(spark, sf_dir):
+    return exact.exact_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
+    )
+
+
+@query("op7_contamination")
+def op7(spark, sf_dir):
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    hit = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]
+    )
+    return contamination.find_contamination(docs, benchmark).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 @query("op8_quality")
 def op8(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
