@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Texts of one batch that are worked on together, in bytes; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
+SALTS = 16
+LAST = (1 << 63) - 1
 
 
 def importable(spark: SparkSession) -> None:
@@ -57,6 +59,14 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def salted_left_join(rows: DataFrame, groups: DataFrame, keys: list[str], salts: int = SALTS):
+    """Left join of rows, numbered by `row`, to one small row per group: a large group's rows are
+    dealt out to `salts` tasks, each of which gets a copy of the group's row."""
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+    copied = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copied, [*keys, "salt"], "left").drop("salt")
+
+
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of an Arrow string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -13,10 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions, written
+from .common import LAST, id_and_text, partitions, salted_left_join, written
 
 BLOCK_ROWS = 1 << 16
-SALTS = 16
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -182,7 +181,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = written(blocks.join(answers, "block").mapInArrow(_suspects(owners), ROWS))
 
     # Suspects: rows of the same id and hash are one unit, named by its first row.
-    last = F.lit((1 << 63) - 1)
+    last = F.lit(LAST)
     units = rows.where("suspect").groupBy("id", "sha").agg(F.min("row").alias("row"))
     checked = (
         source.alias("d")
@@ -200,10 +199,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .where("group_size > 1")
         .select(F.sha2("text", 256).alias("sha"), "keep", "keep_row", "group_size")
     )
-    # A large group's rows are dealt out by a salt; each group is one small row, copied once a salt.
-    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")
-    joined = rows.withColumn("salt", salt).join(salted, ["sha", "salt"], "left")
+    joined = salted_left_join(rows, groups, ["sha"])
     single = F.col("keep").isNull()
     return joined.select(
         "id",

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import contamination, exact, licences, packing, quality
+from . import contamination, exact, licences, neardup, packing, pii, quality, repeats, urls
 from .common import table
 
 QUERIES = {}
@@ -35,6 +35,61 @@ def op2(spark, sf_dir):
     )
 
 
+# The rules that the query judges pages by.
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+@query("op3_url_filter")
+def op3(spark, sf_dir):
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed(
+        "id", "page_id"
+    )
+
+
+@query("op4_near_dedup")
+def op4(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "class_id", "group_size", "kept"
+    )
+
+
+@query("op5_repeated_bytes")
+def op5(spark, sf_dir):
+    return repeats.repeated_bytes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
+@query("op6_personal_data")
+def op6(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ","
+        )
+
+    def counted(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[counted(kind) for kind in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op7_contamination")
 def op7(spark, sf_dir):
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
