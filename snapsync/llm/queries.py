@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import contamination, exact, licences, neardup, packing, pii, quality, repeats, urls
+from . import contamination, exact, licences, lines, neardup, packing, pii, quality, repeats, urls
 from .common import table
 
 QUERIES = {}
@@ -20,6 +20,13 @@ def query(name, sql=None):
     return register
 
 
+@query("op1_line_dedup")
+def op1(spark, sf_dir):
+    return lines.repeated_lines(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_removed", "text"
+    )
+
+
 @query(
     "op2_exact_dedup",
     r"""with n as (
