@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import id_and_text
+from .common import chunks, id_and_text, text_buffer
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -26,50 +26,90 @@ PIECES = (
 SENTENCE_CUT, INNER_CUT = 2, 24
 # Places nearer than this to the last sentence cut are no cuts; longer gaps get inner cuts.
 CUT_GAP = 32
-# Tokens that one run of the dynamic programming looks at, and chunks that a worker remembers.
-BLOCK_TOKENS, REMEMBERED = 1 << 18, 300_000
-# White space other than spaces and line feeds.
+# Tokens that one run of the dynamic programming looks at, and pieces that a worker remembers.
+BLOCK_TOKENS, REMEMBERED = 1 << 18, 500_000
+# White space other than spaces and line feeds; a comma or full stop after what is no letter or digit.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_OTHER_STOP = re.compile(r"[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,]")
+_ODD = ("  ", " \n", "\n ", "\n\n\n", "<|", "\0")
 _memory: dict = {}
 
 
 class Tokens:
-    """Ids and sentence ends of texts. A single space between two other characters that are no white
-    space always begins a new pre-token of a byte-level BPE, so that texts are cut there and
-    repeated chunks are looked up; texts with other spacing go through the tokenizer whole."""
+    """Ids of texts and where their sentences end.
+
+    A byte-level BPE works within pre-tokens. One of them begins at each single space or line feed
+    between other characters, after such a line feed, and at a comma or full stop between a letter
+    or digit and a space. Texts are cut there; pieces are looked up, and the new ones of a batch go
+    through the tokenizer together, each on a line of its own. Texts with other spacing go through
+    it whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple] = {}
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        odd = any(x in text for x in ("  ", " \n", "\n ", "<|", "\0"))
-        if odd or _OTHER_SPACE.search(text):
-            return self._whole(text)
-        chunks = text.replace(" ", "\0 ").split("\0")
+        vocabulary = self.tokenizer.get_vocab()
+        top = max(vocabulary.values()) + 1
+        self.sizes = np.zeros(top, np.int64)  # bytes of each token: one character stands for one
+        self.ends = np.zeros(top, bool)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+            self.ends[i] = token[-1] in ".!?" or "\u010a" in token  # U+010A stands for a line feed
+        line = np.array(self._ids("\n"), np.uint32)
+        self.known: dict[str, bytes] = {"": b"", "\n": line.tobytes()}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        ids = np.array(self._ids("\n".join(pieces)), np.uint32)
+        stops = np.cumsum(self.sizes[ids])
+        sizes = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
+        last = np.cumsum(sizes + 1) - 1
+        high = np.searchsorted(stops, last, "right").tolist()
+        low = np.searchsorted(stops, last - sizes, "right").tolist()
+        return {p: ids[a:b].tobytes() for p, a, b in zip(pieces, low, high)}
+
+    def of(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, places after a sentence's last token) of each text."""
+        cut = [self._pieces(t) for t in texts]
         known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(dict.fromkeys(chunks))
-            found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            for chunk, encoded in zip(missing, found):
-                known[chunk] = (encoded.ids, chunk[-1:] in ".!?" or "\n" in chunk)
-        parts = [known[c] for c in chunks]
-        counts = np.fromiter((len(p[0]) for p in parts), np.int64, len(parts))
-        ends = np.cumsum(counts)
-        ids = np.fromiter((i for p in parts for i in p[0]), np.uint32, int(ends[-1]))
-        return ids, ends[np.fromiter((p[1] for p in parts), bool, len(parts))]
-
-    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        encoded = self.tokenizer.encode(text, add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        ends = [b for _, b in encoded.offsets]
-        cuts = np.array([m.end() for m in re.finditer(r"[.!?\n]", text)], np.int64)
-        return ids, np.unique(np.searchsorted(np.array(ends, np.int64), cuts, "right"))
+        new = list({p: None for pieces in cut if pieces for p in pieces if p not in known})
+        if new:
+            learned = self._learn(new)
+            if len(known) + len(new) <= REMEMBERED:
+                known.update(learned)
+            else:
+                known = _Both(known, learned)
+        out = []
+        for text, pieces in zip(texts, cut):
+            if pieces is None:
+                ids = np.array(self._ids(text), np.uint32)
+            else:
+                ids = np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.uint32)
+            out.append((ids, np.flatnonzero(self.ends[ids]) + 1))
+        return out
+
+    @staticmethod
+    def _pieces(text: str) -> list[str] | None:
+        if any(x in text for x in _ODD) or text.endswith((" ", "\n\n")) or _OTHER_SPACE.search(text):
+            return None
+        text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+        if not _OTHER_STOP.search(text):
+            text = text.replace(",\0", "\0,\0").replace(".\0", "\0.\0")
+        return text.split("\0")
+
+
+class _Both(dict):
+    """Pieces of one batch over those remembered."""
+
+    def __init__(self, known, learned):
+        super().__init__(learned)
+        self.known = known
+
+    def __missing__(self, piece):
+        return self.known[piece]
 
 
 def tokens_for(path: str) -> Tokens:
@@ -198,10 +238,13 @@ def pack(
         packer = Packer(window, TaskContext.get().partitionId() << 40)
         tokens = tokens_for(tokenizer_path)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids, ends = tokens.of(text.as_py() or "")
-                packer.add(doc_id, np.append(ids, np.uint32(end_id)), ends)
-            yield packer.taken()
+            _, offsets = text_buffer(batch.column(1))
+            for low, high in chunks(offsets):
+                part = batch.slice(low, high - low)
+                found = tokens.of(part.column(1).to_pylist())
+                for doc_id, (ids, ends) in zip(part.column(0).to_pylist(), found):
+                    packer.add(doc_id, np.append(ids, np.uint32(end_id)), ends)
+                yield packer.taken()
         packer.flush(last=True)
         yield packer.taken()
 
