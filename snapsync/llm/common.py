@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Texts of one batch that are worked on together, in bytes; a longer text is a chunk of its own.
 CHUNK_BYTES = 1 << 20
@@ -50,12 +51,34 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def id_and_text(df: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
     """Only the two columns that an operator reads, as `id` and `text` (null text: empty), so that
-    other columns may have any name."""
-    return df.select(
+    other columns may have any name. With `carry`, all columns but the text are in `rest`."""
+    found = [
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+    ]
+    if carry:
+        others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+        found.append(F.struct(*others).alias("rest"))
+    return df.select(*found)
+
+
+def extended(ddl: str, df: DataFrame, names: list[str]) -> T.StructType:
+    """The schema of some DDL with further columns of df."""
+    kind = T.StructType.fromDDL(ddl)
+    for name in names:
+        kind = kind.add(name, df.schema[name].dataType)
+    return kind
+
+
+def restored(df: DataFrame, like: DataFrame, text_col: str) -> DataFrame:
+    """The columns of `like` out of `text` and `rest`."""
+    return df.select(
+        *[
+            (F.col("text") if c == text_col else F.col("rest").getField(c)).alias(c)
+            for c in like.columns
+        ]
     )
 
 

@@ -15,12 +15,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LAST, id_and_text, partitions, salted_left_join, written
+from .common import (
+    LAST,
+    extended,
+    id_and_text,
+    partitions,
+    restored,
+    salted_left_join,
+    written,
+)
 from .repeats import intervals, merged
 
 MIN_WORDS = 50
+BLANK = " \t\r\x0b\x0c"
 PLACES = "seg long, place long, high long, low long, need long"
 SPANS = "row long, start long, stop long"
+LEFT = "row long, id long, text string, n_lines long, n_removed long"
 
 
 def _places(min_words: int):
@@ -131,8 +141,9 @@ def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(texts, pa.string()),
                 pa.array(counts, pa.int64()),
                 pa.array(gone, pa.int64()),
+                *batch.columns[4:],
             ],
-            ["row", "id", "text", "n_lines", "n_removed"],
+            ["row", "id", "text", "n_lines", "n_removed", *batch.schema.names[4:]],
         )
 
 
@@ -147,19 +158,52 @@ def repeated_lines(
     if they stand inside one. Null ids come last, null texts count as empty. An empty table gives no
     rows.
     """
-    spark = docs.sparkSession
-    rows = written(
-        id_and_text(docs, id_col, text_col).select(
+    rows = _numbered(id_and_text(docs, id_col, text_col))
+    return rows.join(_spans(rows, min_words), "row", "left").select("row", "id", "text", "spans").mapInArrow(
+        _delete, LEFT
+    )
+
+
+def drop_repeated_lines(
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size_col: str = "n_chars",
+) -> DataFrame:
+    """The documents without the lines that `repeated_lines` deletes. A document that had words and
+    has none left is a copy of others, and goes. Where there is a column `size_col`, it gets the new
+    number of characters of the documents that changed."""
+    rows = _numbered(id_and_text(docs, id_col, text_col, carry=True))
+    found = (
+        rows.join(_spans(rows, min_words), "row", "left")
+        .select("row", "id", "text", "spans", "rest")
+        .mapInArrow(_delete, extended(LEFT, rows, ["rest"]))
+        .where((F.col("n_removed") == 0) | (F.btrim("text", F.lit(BLANK + "\n")) != ""))
+    )
+    if size_col in docs.columns:
+        size = F.char_length("text").cast(docs.schema[size_col].dataType)
+        changed = F.when(F.col("n_removed") > 0, size).otherwise(F.col("rest").getField(size_col))
+        found = found.withColumn("rest", F.col("rest").withField(f"`{size_col}`", changed))
+    return restored(found, docs, text_col)
+
+
+def _numbered(texts: DataFrame) -> DataFrame:
+    return written(
+        texts.select(
             F.monotonically_increasing_id().alias("row"),
-            "id",
             F.coalesce("id", F.lit(LAST)).alias("id_order"),
-            "text",
+            *texts.columns,
         )
     )
-    blank = " \t\r\x0b\x0c"
+
+
+def _spans(rows: DataFrame, min_words: int) -> DataFrame:
+    """`row` and `spans` (start, stop) of the lines to delete."""
+    spark = rows.sparkSession
     cut = F.transform(
         F.split("text", "\n"),
-        lambda line, i: F.struct(i.alias("at"), F.btrim(line, F.lit(blank)).alias("line")),
+        lambda line, i: F.struct(i.alias("at"), F.btrim(line, F.lit(BLANK)).alias("line")),
     )
     cut = F.posexplode(F.filter(cut, lambda s: s["line"] != "")).alias("place", "s")
     line = F.col("s.line")
@@ -234,16 +278,11 @@ def repeated_lines(
         )
     )
     found = members.repartition(partitions(spark), "rank").mapInArrow(_scan, SPANS)
-    spans = (
+    return (
         copies.unionByName(found)
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    return (
-        rows.join(spans, "row", "left")
-        .select("row", "id", "text", "spans")
-        .mapInArrow(_delete, "row long, id long, text string, n_lines long, n_removed long")
-    )
 
 
 def _groups(ranked: DataFrame, levels: int) -> DataFrame:

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from .common import (
     LAST,
     chunks,
+    extended,
     id_and_text,
     mix,
     prefix_hashes,
+    restored,
     salted_left_join,
     shingles,
     span_hashes,
@@ -125,9 +127,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.ListArray.from_arrays(
                         np.arange(0, picks.size + 1, FUNCTIONS, dtype=np.int32), flat
                     ),
-                    some.column(2),
+                    *some.columns[2:],
                 ],
-                [c.split()[0] for c in SKETCHED.split(", ")],
+                [c.split()[0] for c in SKETCHED.split(", ")] + batch.schema.names[3:],
             )
 
 
@@ -254,11 +256,28 @@ def near_duplicates(
     sequences are copies and always one group, so all texts without words are one. A null id comes
     after all others. Rows with equal ids are documents of their own. An empty table gives no rows.
     """
-    numbered = id_and_text(docs, id_col, text_col).select(
-        F.monotonically_increasing_id().alias("row"), "id", "text"
-    )
-    rows = written(numbered.mapInArrow(_sketch, SKETCHED))
+    return _classes(_sketched(id_and_text(docs, id_col, text_col)), similarity)
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The documents without those that `near_duplicates` does not keep."""
+    rows = _sketched(id_and_text(docs, id_col, text_col, carry=True))
+    dropped = _classes(rows, similarity).where(~F.col("kept")).select("row")
+    return restored(rows.join(dropped, "row", "left_anti"), docs, text_col)
+
+
+def _sketched(texts: DataFrame) -> DataFrame:
+    numbered = texts.select(F.monotonically_increasing_id().alias("row"), *texts.columns)
+    kind = extended(SKETCHED, texts, [c for c in texts.columns if c == "rest"])
+    return written(numbered.mapInArrow(_sketch, kind))
+
 
+def _classes(rows: DataFrame, similarity: float) -> DataFrame:
     # Texts of equal words are one node, named by its first row.
     order = F.coalesce("id", F.lit(LAST))
     copies = rows.groupBy("high", "low").agg(

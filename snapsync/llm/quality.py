@@ -7,45 +7,75 @@ sizes themselves go into a logistic function that is fitted on labelled texts wh
 dictionary.
 """
 
-from collections.abc import Iterator
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text
 
 BLOCK = 4096
 LEVEL = 1
+FEATURES = 7
 # Bounds of the fit: labelled rows of each class, blocks of a text, bytes of a dictionary.
 ROWS_PER_CLASS, BLOCKS_PER_TEXT, DICTIONARY_BYTES = 2500, 4, 110_000
 
 
+def _shapes() -> bytes:
+    """Lower-case letters to a, upper-case ones to A, digits to 0, bytes beyond ASCII to a."""
+    shapes = bytearray(range(256))
+    for low, high, letter in ((48, 58, b"0"), (65, 91, b"A"), (97, 123, b"a"), (128, 256, b"a")):
+        shapes[low:high] = letter * (high - low)
+    return bytes(shapes)
+
+
+SHAPES = _shapes()
+# Bytes that an empty frame takes: they say nothing about the text.
+FRAME = 9
+
+
+def shape_of(raw: bytes) -> bytes:
+    """The text with each run of letters of a kind, or of digits, as one."""
+    return re.sub(rb"([aA0])\1+", rb"\1", raw.translate(SHAPES))
+
+
 class Compressors:
+    """Compresses a text, and its shape, with the good and the bad dictionary and with none."""
+
     def __init__(self, good: bytes, bad: bytes):
-        self.each = [
-            zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=_dictionary(d), write_content_size=False,
-                write_checksum=False, write_dict_id=False,
-            )
-            for d in (good, bad)
-        ] + [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)]
+        views = [(good, bad), (shape_of(good), shape_of(bad))]
+        self.views = [
+            [*(_compressor(d) for d in both), zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)]
+            for both in views
+        ]
 
     def features(self, raw: bytes) -> tuple[float, ...]:
-        """Sizes per byte: good minus bad, the smaller of the two, without a dictionary."""
+        """Length, and by view: size per byte good minus bad, the smaller of the two, without a
+        dictionary. Sizes per byte of short texts differ from those of long ones."""
         if not raw:
-            return 0.0, 0.0, 0.0
-        sizes = [0, 0, 0]
-        for at in range(0, len(raw), BLOCK):
-            block = raw[at : at + BLOCK]
-            for i, one in enumerate(self.each):
-                sizes[i] += len(one.compress(block))
-        good, bad, alone = sizes
-        n = len(raw)
-        return (good - bad) / n, min(good, bad) / n, alone / n
+            return (0.0,) * FEATURES
+        out = [float(np.log(len(raw)))]
+        for view, compressors in zip((raw, shape_of(raw)), self.views):
+            sizes = [0, 0, 0]
+            for at in range(0, len(view), BLOCK):
+                block = view[at : at + BLOCK]
+                for i, one in enumerate(compressors):
+                    sizes[i] += max(1, len(one.compress(block)) - FRAME)
+            good, bad, alone = sizes
+            n = len(view)
+            out += [(good - bad) / n, min(good, bad) / n, alone / n]
+        return tuple(out)
+
+
+def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(
+        level=LEVEL, dict_data=_dictionary(raw), write_content_size=False, write_checksum=False,
+        write_dict_id=False,
+    )
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
@@ -54,6 +84,11 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
     return found
 
 
+def clipped(x: np.ndarray) -> np.ndarray:
+    """Standardised features of odd texts (a few bytes, say) stay near those of the fit."""
+    return np.clip(x, -3, 3)
+
+
 def expanded(x: np.ndarray) -> np.ndarray:
     """Features with squares and products, and a constant."""
     i, j = np.triu_indices(x.shape[1])
@@ -69,22 +104,30 @@ class Model:
     weights: np.ndarray
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        z = expanded((features - self.middle) / self.scale) @ self.weights
+        z = expanded(clipped((features - self.middle) / self.scale)) @ self.weights
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 40) -> np.ndarray:
-    """Weights by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60) -> np.ndarray:
+    """Weights by Newton's method; a step that doesn't lower the loss is halved."""
+    penalty = np.full(x.shape[1], ridge)
+    penalty[0] = 1e-3
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + penalty @ w**2 / 2
+
     w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(x.shape[1])
-    penalty[0, 0] = 1e-6
+    now = loss(w)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(
-            (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w
-        )
-        w = w + step
-        if np.abs(step).max() < 1e-8:
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(curve, x.T @ (y - p) - penalty * w)
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) > now:
+            size /= 2
+        w, before, now = w + size * step, now, loss(w + size * step)
+        if before - now < 1e-9:
             break
     return w
 
@@ -100,7 +143,8 @@ def dictionary_of(texts: list[bytes], limit: int) -> bytes:
     except zstandard.ZstdError:
         trained = b""
     each = max(64, (limit - len(trained)) // len(pieces))
-    return b"".join(p[:each] for p in pieces)[: limit - len(trained)] + trained
+    middles = (p[max(0, len(p) - each) // 2 :][:each] for p in pieces)
+    return b"".join(middles)[: limit - len(trained)] + trained
 
 
 def sample(docs, labels, rows: int, id_col: str, text_col: str, label_col: str):
@@ -153,12 +197,27 @@ def fit(
     one = Compressors(good, bad)
     y = np.array([c for c in (0, 1) for _ in parts[c, 1]], float)
     if len(set(y)) < 2:
-        constant = np.zeros(10)
+        constant = np.zeros(1 + FEATURES + FEATURES * (FEATURES + 1) // 2)
         constant[0] = 0.0 if not found else 3.0 * (2 * found[-1].y - 1)
-        return Model(good, bad, np.zeros(3), np.ones(3), constant)
+        return Model(good, bad, np.zeros(FEATURES), np.ones(FEATURES), constant)
     x = np.array([one.features(raw) for c in (0, 1) for raw in parts[c, 1]])
     middle, scale = x.mean(0), x.std(0) + 1e-9
-    return Model(good, bad, middle, scale, logistic(expanded((x - middle) / scale), y))
+    return Model(good, bad, middle, scale, logistic(expanded(clipped((x - middle) / scale)), y))
+
+
+def score_of(model: Model, text: Column) -> Column:
+    """The score of a text; null counts as empty."""
+    compressors: list[Compressors] = []
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        if not compressors:
+            compressors.append(Compressors(model.good, model.bad))
+        raw = texts.cast(pa.binary()).to_pylist()
+        features = np.array([compressors[0].features(t or b"") for t in raw]).reshape(-1, FEATURES)
+        return pa.array(model.scores(features), pa.float64())
+
+    return scored(text)
 
 
 def score(
@@ -169,14 +228,11 @@ def score(
     The whole text counts. A null or empty text has the score of sizes 0. Ids may be null or repeat;
     every row is scored on its own.
     """
+    texts = id_and_text(docs, id_col, text_col)
+    return texts.select("id", score_of(model, F.col("text")).alias("score"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = Compressors(model.good, model.bad)
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            features = np.array([one.features(t or b"") for t in texts]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.scores(features), pa.float64())], ["id", "score"]
-            )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(work, "id long, score double")
+def keep_good(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The documents whose score is at least `least`."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.where(score_of(model, text) >= least)

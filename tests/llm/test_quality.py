@@ -3,8 +3,8 @@ import numpy as np
 from snapsync.llm import quality
 
 
-def test_held_out_accuracy(spark, documents):
-    folder = "/root/testdata/sf0.01"
+def test_held_out_accuracy(spark, documents, given):
+    folder = given.replace("sf0.001", "sf0.1")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = quality.fit(docs, labels.where("doc_id % 2 = 0"))
