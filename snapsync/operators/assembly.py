@@ -59,7 +59,7 @@ def assemble_text(
 
 
 def list_names(
-    df: DataFrame, groups, name: str, separator=", ", per_row=Settings.names_per_message, how="auto"
+    df: DataFrame, groups, name: str, separator=", ", per_row=Settings.names_per_message, how="ranges"
 ) -> DataFrame:
     """Distinct names of each group, ascending, as one text per `per_row` names.
 

@@ -4,9 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from snapsync.functions.times import author_time
 from snapsync.operators.assembly import joined_in_order
-from snapsync.operators.joins import join_null_safe
-from snapsync.operators.ordering import in_one_task, number_parts, number_runs
-from snapsync.operators.sizing import written
+from snapsync.operators.ordering import number_parts, number_runs
 from snapsync.settings import Settings
 
 OBJECT = ("class_id", "short_name")
@@ -20,7 +18,7 @@ def author_islands(
     order=None,
     author="user_modified",
     alias="changeset_id",
-    how="auto",
+    how="ranges",
 ) -> DataFrame:
     """Number the runs of consecutive rows (by time) that have the same or no author."""
     if order is None:
@@ -29,28 +27,29 @@ def author_islands(
 
 
 def changeset_messages(
-    objects: DataFrame, groups, settings: Settings = Settings(), how="auto"
+    objects: DataFrame, groups, settings: Settings = Settings(), how="ranges"
 ) -> DataFrame:
     """`autosave C1 [N1, N2], C2 [N3]` per group, classes and names distinct and ascending.
 
-    A message lists up to `names_per_message` objects; a larger group has further rows, counted by
-    `message_no` from 0, so that no list is ever cut and none outgrows a task.
+    A message lists `n_objects` objects, `names_per_message` at most; the messages of a group are
+    counted by `message_no` from 0, so that no list is ever cut and none outgrows a task. A group
+    without any class has no message.
     """
-    return _messages(objects.select(*groups, *OBJECT).distinct(), list(groups), settings, how)
-
-
-def _messages(distinct: DataFrame, groups, settings: Settings, how) -> DataFrame:
+    groups = list(groups)
+    distinct = objects.select(*groups, *OBJECT).distinct()
     order = ["class_id", F.asc_nulls_first("short_name")]
     named = distinct.where(F.col("class_id").isNotNull())
     parts = number_parts(named, groups, order, settings.names_per_message, "message_no", how)
     classes = parts.groupBy(*groups, "message_no", "class_id").agg(
-        F.array_join(F.sort_array(F.collect_list("short_name")), ", ").alias("_names")
+        F.array_join(F.sort_array(F.collect_list("short_name")), ", ").alias("_names"),
+        F.count(F.lit(1)).alias("_n"),
     )
     listed = F.concat(F.col("class_id"), F.lit(" ["), F.col("_names"), F.lit("]"))
     return classes.groupBy(*groups, "message_no").agg(
+        F.sum("_n").alias("n_objects"),
         F.concat(F.lit(settings.message_prefix), joined_in_order(["class_id"], listed, ", ")).alias(
             "message"
-        )
+        ),
     )
 
 
@@ -64,9 +63,9 @@ def changesets(
     groups=("source_db", "changeset_id"),
     shift_days: Column | None = None,
     settings: Settings = Settings(),
-    how="auto",
 ) -> DataFrame:
-    """One row per change set and message part, from rows that carry their island number."""
+    """One row per change set, from rows that carry their island number; `changeset_messages` of the
+    same groups lists its objects in `n_messages` messages."""
     groups = list(groups)
     shift = F.lit(0) if shift_days is None else shift_days
     objects = islands.groupBy(*groups, *OBJECT).agg(
@@ -74,20 +73,19 @@ def changesets(
         F.min("modified").alias("_time"),
         F.count(F.lit(1)).alias("_n"),
     )
-    if not in_one_task(objects, how):
-        objects = written(objects, "objects")
     facts = objects.groupBy(*groups).agg(
-        F.min("_author").alias("_author"), F.min("_time").alias("_time"), F.sum("_n").alias("_n")
+        F.min("_author").alias("_author"),
+        F.min("_time").alias("_time"),
+        F.sum("_n").alias("_n"),
+        F.count("class_id").alias("_named"),
     )
-    messages = _messages(objects.select(*groups, *OBJECT), groups, settings, how)
     author = author_name(F.col("_author"), settings)
-    return join_null_safe(facts, messages, groups, "left").select(
+    return facts.select(
         *groups,
-        F.coalesce("message_no", F.lit(0)).cast("bigint").alias("message_no"),
         author.alias("author"),
         F.concat(author, F.lit(settings.mail_suffix)).alias("author_email"),
         F.lit(settings.committer).alias("committer"),
         author_time(F.col("_time"), shift, settings.author_hour_shift).alias("author_time"),
         F.col("_n").alias("n_rows"),
-        F.coalesce("message", F.lit(settings.message_prefix)).alias("message"),
+        F.ceil(F.col("_named") / settings.names_per_message).cast("bigint").alias("n_messages"),
     )

@@ -55,13 +55,20 @@ def changed_vs_baseline(rows: DataFrame, baseline: DataFrame, keys, text="text")
 
 
 def effective_changes(
-    rows: DataFrame, baseline: DataFrame, keys, order, text="text", how="auto"
+    rows: DataFrame, baseline: DataFrame, keys, order, text="text", how="ranges"
 ) -> DataFrame:
-    """Rows that flip their path between equal to the baseline and different from it."""
-    marked = with_dirty(rows, baseline, keys, text_sha(F.col(text)))
+    """Rows that flip their path between equal to the baseline and different from it.
+
+    `order` names columns that, with the keys, tell rows apart. Only they and the hash go through
+    the ordered pass; the texts of the rows that flip are fetched after it.
+    """
+    place = [*keys, *order]
+    hashed = rows.select(*place, text_sha(F.col(text)).alias("_sha"))
+    marked = with_dirty(hashed, baseline, keys, F.col("_sha")).drop("_sha")
     before = with_previous(marked, list(keys), order, F.col("dirty"), "_before", how)
     flips = F.col("dirty") != F.coalesce(F.col("_before.value"), F.lit(False))
-    return before.where(flips).drop("_before")
+    found = before.where(flips).select(*place, "dirty")
+    return join_null_safe(rows, found, place, "inner")
 
 
 def upsert_with_delete(stored: DataFrame, rows: DataFrame, keys, text="text") -> DataFrame:

@@ -20,6 +20,16 @@ def flagged(df: DataFrame, members: DataFrame, on, alias: str) -> DataFrame:
     return df.join(keys, list(on), "left").withColumn(alias, F.coalesce(alias, F.lit(False)))
 
 
+def known_size(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A table of few rows (one per source or per poll) as a local one, whose size the optimizer
+    knows: the large side of a join with it is not shuffled by the few keys. A larger table stays as
+    it is."""
+    if df.isStreaming:
+        return df
+    rows = df.limit(most + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= most else df
+
+
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
     """Add `last` and `as_of` of each row's source; bounds has one row per source."""
-    return df.join(bounds.select("source_db", "last", "as_of"), "source_db")
+    return df.join(known_size(bounds.select("source_db", "last", "as_of")), "source_db")

@@ -1,29 +1,28 @@
 """Ordered passes over groups of any size: row numbers, previous values, runs of equal values.
 
-A window keeps a whole group in one task. That is right for input of a checked small size. Larger
-input is cut into ranges of the sort order, so that a group spans as many tasks as it needs; each
+The rows are cut into ranges of the sort order, so that a group spans as many tasks as it needs; each
 slice is numbered on its own and one row per slice and group carries the state over the borders.
 The range-sorted rows are written once, because both passes must see the same cuts.
 
-`order` must be total within a group. `how` is "auto", "window" or "ranges".
+`order` must be total within a group. `how` is "ranges" or, where the caller knows that every group
+fits one task, "window".
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapsync.operators.joins import join_null_safe
-from snapsync.operators.sizing import fits_one_task, written
-from snapsync.settings import Settings
+from snapsync.operators.sizing import written
 
 ROW, SLICE = "_row", "_slice"
 # monotonically_increasing_id keeps the partition number above this bit.
 PARTITION_BIT = 33
 
 
-def in_one_task(df: DataFrame, how: str) -> bool:
-    """May one task hold a whole group of df?"""
-    if how not in ("auto", "window", "ranges"):
+def in_one_task(how: str) -> bool:
+    """May one task hold a whole group?"""
+    if how not in ("window", "ranges"):
         raise ValueError(f"unknown way: {how}")
-    return how == "window" or (how == "auto" and fits_one_task(df, Settings.one_task_bytes))
+    return how == "window"
 
 
 def _ranges(df: DataFrame, groups, order) -> DataFrame:
@@ -44,9 +43,9 @@ def _earlier_slices(groups):
     return _across_slices(groups).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def number_rows(df, groups, order, alias="position", how="auto") -> DataFrame:
+def number_rows(df, groups, order, alias="position", how="ranges") -> DataFrame:
     """Add the 1-based position of each row in its group."""
-    if in_one_task(df, how):
+    if in_one_task(how):
         position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
         return df.withColumn(alias, position.cast("bigint"))
     rows = _ranges(df, groups, order)
@@ -63,33 +62,20 @@ def number_rows(df, groups, order, alias="position", how="auto") -> DataFrame:
     )
 
 
-def number_parts(df, groups, order, size: int, alias="part_no", how="auto") -> DataFrame:
-    """Cut each group into parts of `size` rows in order, counted from 0.
-
-    Of larger input only the groups with more rows than that are ranked.
-    """
-    if in_one_task(df, how):
-        placed = number_rows(df, groups, order, "_position", "window")
-        return placed.withColumn(alias, _part("_position", size)).drop("_position")
-    rows = written(df, "parts")
-    large = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-    large = large.drop("_n")
-    one = join_null_safe(rows, large, groups, "left_anti")
-    many = join_null_safe(rows, large, groups, "left_semi")
-    placed = number_rows(many, groups, order, "_position", "ranges")
-    return one.withColumn(alias, F.lit(0).cast("bigint")).unionByName(
-        placed.withColumn(alias, _part("_position", size)).drop("_position")
-    )
+def number_parts(df, groups, order, size: int, alias="part_no", how="ranges") -> DataFrame:
+    """Cut each group into parts of `size` rows in order, counted from 0."""
+    placed = number_rows(df, groups, order, "_position", how)
+    return placed.withColumn(alias, _part("_position", size)).drop("_position")
 
 
 def _part(position: str, size: int) -> Column:
     return F.floor((F.col(position) - 1) / size)
 
 
-def with_previous(df, groups, order, value: Column, alias="previous", how="auto") -> DataFrame:
+def with_previous(df, groups, order, value: Column, alias="previous", how="ranges") -> DataFrame:
     """Add struct<value> of the row before in the group; null struct on the first row."""
     boxed = F.struct(value.alias("value"))
-    if in_one_task(df, how):
+    if in_one_task(how):
         return df.withColumn(alias, F.lag(boxed).over(Window.partitionBy(*groups).orderBy(*order)))
     rows = _ranges(df, groups, order)
     slices = (
@@ -106,10 +92,10 @@ def with_previous(df, groups, order, value: Column, alias="previous", how="auto"
     )
 
 
-def number_runs(df, groups, order, value: Column, alias="run", how="auto") -> DataFrame:
+def number_runs(df, groups, order, value: Column, alias="run", how="ranges") -> DataFrame:
     """Number, from 1 in each group, the runs of consecutive rows with equal (or both null) value."""
     boxed = F.struct(value.alias("value"))
-    if in_one_task(df, how):
+    if in_one_task(how):
         w = Window.partitionBy(*groups).orderBy(*order)
         return (
             df.withColumn("_starts", (~F.lag(boxed).over(w).eqNullSafe(boxed)).cast("bigint"))

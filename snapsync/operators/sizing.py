@@ -1,4 +1,4 @@
-"""Plan sizes and intermediate tables."""
+"""Intermediate tables."""
 
 import tempfile
 import uuid
@@ -6,25 +6,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate. Joins and unknown inputs are over-estimated, so a small
-    number is safe to act on and a large one only means: take the way that scales."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_one_task(df: DataFrame, limit: int) -> bool:
-    return plan_bytes(df) <= limit
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one in local mode only."""
+    """The folder named in spark.checkpoint.dir. Where it is unset, as in tests, a local session
+    sets a folder of its own; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="snapsync-"))
-    return (folder or context.getCheckpointDir()).rstrip("/")
+        folder = tempfile.mkdtemp(prefix="snapsync-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -1,24 +1,27 @@
 """Incremental capture: bounds, mode, epoch, and the poll itself."""
 
 import logging
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from snapsync import schemas
 from snapsync.functions.names import object_path
 from snapsync.functions.text import text_sha
 from snapsync.functions.times import clock_shift, days, epoch_name
-from snapsync.operators.changesets import author_islands, changesets
+from snapsync.operators.changesets import author_islands, changeset_messages, changesets
 from snapsync.operators.diff import changed_vs_baseline
-from snapsync.operators.joins import flagged
+from snapsync.operators.joins import flagged, join_null_safe, known_size
 from snapsync.operators.ordering import latest_row
 from snapsync.operators.sizing import written
 from snapsync.plans.changes import changes_all, changes_or_folder
 from snapsync.plans.store import Store, epoch_snapshot
 from snapsync.settings import Settings
-from snapsync.sources.catalog import Tables
+from snapsync.sources.catalog import Tables, catalog_objects
 
 logger = logging.getLogger(__name__)
 
@@ -56,24 +59,37 @@ def poll_mode(now: DataFrame, control: DataFrame, restored: DataFrame | None = N
 def late_rows(rows: DataFrame, bounds: DataFrame, known: DataFrame, keys) -> DataFrame:
     """Rows stamped before their source's window that the snapshot does not know: a poll by time
     misses them."""
-    before = rows.join(bounds, "source_db").where(F.col("modified") < F.col("last"))
+    before = rows.join(known_size(bounds), "source_db").where(F.col("modified") < F.col("last"))
     return before.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def newest_per_path(rows: DataFrame) -> DataFrame:
-    """One row per file of a feed, so that a file counts once per poll."""
+    """One row per file of a feed, so that a file counts once per poll. Rows without a path count by
+    their object."""
     order = [F.desc_nulls_last("modified"), F.desc_nulls_last("user_modified"), F.desc("text")]
-    return latest_row(rows, PATH, order)
+    named = [c for c in (*schemas.KEY, "extention") if c in rows.columns]
+    lacking = F.when(F.col("path").isNull(), F.struct(*named)) if named else F.lit(None)
+    return latest_row(rows.withColumn("_object", lacking), [*PATH, "_object"], order).drop("_object")
+
+
+def feed_path():
+    """The file of a change row. A row that lacks its class or name has a path of its own below `?`,
+    made of what it has, so that it is kept and known again."""
+    known = object_path(*map(F.col, ("class_id", "short_name", "extention")))
+    return F.coalesce(known, F.concat(F.lit("?/"), F.to_json(F.struct(*schemas.KEY, "extention"))))
 
 
 def poll_changesets(
-    rows: DataFrame, baseline: DataFrame, settings=Settings(), shift_days=None, how="auto"
-) -> DataFrame:
-    """Change sets of a feed against a baseline (source_db, path, text_sha): newest row per path,
-    without the unchanged ones, in runs of one author."""
+    rows: DataFrame, baseline: DataFrame, settings=Settings(), shift_days=None, how="ranges"
+) -> tuple[DataFrame, DataFrame]:
+    """Change sets, and their messages, of a feed against a baseline (source_db, path, text_sha):
+    newest row per path, without the unchanged ones, in runs of one author."""
     changed = changed_vs_baseline(newest_per_path(rows), baseline, PATH).drop("text")
     islands = author_islands(changed, how=how)
-    return changesets(islands, shift_days=shift_days, settings=settings, how=how)
+    return (
+        changesets(islands, shift_days=shift_days, settings=settings),
+        changeset_messages(islands, ("source_db", "changeset_id"), settings, how),
+    )
 
 
 def capture(
@@ -82,43 +98,38 @@ def capture(
     store: Store,
     label="poll",
     settings=Settings(),
-    how="auto",
+    how="ranges",
+    listing: DataFrame | None = None,
 ) -> str:
     """Write the versions and change sets of one feed, then the control rows.
 
     `rows` are change rows; `states` has (source_db, epoch, as_of, local_time), one row per source.
-    Rows that equal the snapshot vanish, so a feed that comes twice changes nothing.
+    Rows that equal the snapshot vanish, so a feed that comes twice changes nothing. `listing` has
+    (source_db, type, class_id, short_name) of everything that some sources hold: stored files of
+    these sources whose object is not listed become removed versions.
     """
     spark = rows.sparkSession
+    states = known_size(states)
     poll_no = store.next_poll_no(spark)
     # A new name for every attempt: what a failed attempt wrote is never named by control.
-    poll = f"{label}-{uuid.uuid4().hex}"
-    stored = epoch_snapshot(store.versions(spark), states, settings)
-    feed = rows.withColumn("path", object_path(*map(F.col, ("class_id", "short_name", "extention"))))
-    changed = changed_vs_baseline(
-        newest_per_path(feed), stored.select(*PATH, "text_sha"), PATH
-    ).join(states.select("source_db", "epoch"), "source_db")
-    store.append_versions(
-        changed.select(
-            "source_db",
-            "epoch",
-            F.lit(poll).alias("poll"),
-            "type",
-            "class_id",
-            "short_name",
-            "path",
-            "modified",
-            "user_modified",
-            "text",
-            text_sha(F.col("text")).alias("text_sha"),
-            F.lit(False).alias("removed"),
-        )
+    poll = f"{label}.{uuid.uuid4().hex}"
+    stored = epoch_snapshot(store.current(spark), states, settings)
+    feed = rows.withColumn("path", feed_path())
+    changed = changed_vs_baseline(newest_per_path(feed), stored.select(*PATH, "text_sha"), PATH)
+    new = changed.select(
+        *("source_db", "type", "class_id", "short_name", "path", "modified", "user_modified"),
+        "text",
+        text_sha(F.col("text")).alias("text_sha"),
+        F.lit(False).alias("removed"),
     )
+    if listing is not None:
+        new = new.unionByName(_removed(stored, listing, states))
+    store.append_versions(new.join(states.select("source_db", "epoch"), "source_db"), poll)
     # The change sets are built from what was written, without its texts.
-    found = store.poll_versions(spark, poll).select(
+    found = store.poll_versions(spark, poll).where("not removed").select(
         *("source_db", "epoch", "type", "class_id", "short_name", "path"),
         *("modified", "user_modified"),
-    )
+    )
     islands = author_islands(
         found,
         groups=("source_db", "epoch"),
@@ -128,17 +139,68 @@ def capture(
     shift = clock_shift(F.col("local_time"), F.col("as_of"))
     with_shift = islands.join(states.select("source_db", shift.alias("_shift")), "source_db")
     groups = ("source_db", "epoch", "changeset_id", "_shift")
-    sets = changesets(with_shift, groups, F.col("_shift"), settings, how)
-    store.append_changesets(sets.withColumn("poll", F.lit(poll)))
+    store.append_changesets(changesets(with_shift, groups, F.col("_shift"), settings), poll)
+    messages = changeset_messages(islands, ("source_db", "epoch", "changeset_id"), settings, how)
+    store.append_messages(messages, poll)
     store.append_control(
         states.select(
             "source_db",
             "epoch",
-            F.lit(poll).alias("poll"),
             F.lit(poll_no).cast("bigint").alias("poll_no"),
             F.col("as_of").alias("high_water"),
             F.col("local_time").alias("updated_at"),
-        )
+        ),
+        poll,
+    )
+    return poll
+
+
+def _removed(stored: DataFrame, listing: DataFrame, states: DataFrame) -> DataFrame:
+    """Stored files of the listed sources whose object the listing lacks, as removed versions."""
+    objects = listing.select("source_db", *schemas.KEY)
+    sources = known_size(objects.select("source_db").distinct())
+    own = stored.join(sources, "source_db", "left_semi")
+    gone = join_null_safe(own, objects.distinct(), ["source_db", *schemas.KEY], "left_anti")
+    return gone.join(states.select("source_db", "as_of"), "source_db").select(
+        *("source_db", "type", "class_id", "short_name", "path"),
+        F.col("as_of").alias("modified"),
+        F.lit(None).cast("string").alias("user_modified"),
+        F.lit(None).cast("string").alias("text"),
+        F.lit(None).cast("string").alias("text_sha"),
+        F.lit(True).alias("removed"),
+    )
+
+
+def merge_into_base(spark: SparkSession, store: Store, settings=Settings()) -> str:
+    """Bring the base epoch up to each source's present epoch: files that differ become versions of
+    the base, files that the epoch lost are removed there. A new epoch then starts from them."""
+    control = known_size(store.last_control(spark, settings))
+    versions = store.current(spark)
+    base = control.select("source_db", F.lit(settings.base_epoch).alias("epoch"))
+    own = epoch_snapshot(versions, control.select("source_db", "epoch"), settings)
+    known = epoch_snapshot(versions, base, settings)
+    poll_no = store.next_poll_no(spark)
+    poll = f"base.{uuid.uuid4().hex}"
+    columns = [c for c in schemas.OBJECT_VERSIONS.fieldNames() if c not in ("epoch", "poll")]
+    changed = join_null_safe(own, known.select(*PATH, "text_sha"), [*PATH, "text_sha"], "left_anti")
+    gone = known.join(own.select(*PATH), list(PATH), "left_anti").withColumns(
+        {
+            "removed": F.lit(True),
+            "text": F.lit(None).cast("string"),
+            "text_sha": F.lit(None).cast("string"),
+        }
+    )
+    rows = changed.select(*columns).unionByName(gone.select(*columns))
+    store.append_versions(rows.withColumn("epoch", F.lit(settings.base_epoch)), poll)
+    store.append_control(
+        control.select(
+            "source_db",
+            F.lit(settings.base_epoch).alias("epoch"),
+            F.lit(poll_no).cast("bigint").alias("poll_no"),
+            "high_water",
+            "updated_at",
+        ),
+        poll,
     )
     return poll
 
@@ -151,11 +213,13 @@ def run_poll(
     store: Store,
     restored: DataFrame | None = None,
     settings=Settings(),
-    how="auto",
+    how="ranges",
+    package_name: str | None = None,
 ) -> str:
-    """Poll all sources in `now` (source_db, as_of, local_time) at once."""
+    """Poll all sources in `now` (source_db, as_of, local_time) at once. A source that is read in
+    full also tells which objects it no longer has."""
     spark = now.sparkSession
-    control = store.last_control(spark)
+    control = store.last_control(spark, settings)
     modes = poll_mode(now, control, restored)
     # Fixed before the poll writes: the state of a source must not move while it is used.
     states = written(
@@ -164,10 +228,17 @@ def run_poll(
         ),
         "states",
     )
-    rows = changes_or_folder(t, states.where("full"), allowed, tree, settings).unionByName(
-        changes_all(t, states.where("not full"), allowed, settings), allowMissingColumns=True
-    )
-    return capture(rows, states, store, settings=settings, how=how)
+    full, rest = states.where("full"), states.where("not full")
+    # The catalogue is read only for the kinds of visit that there are.
+    feeds, listing = [], None
+    if not full.isEmpty():
+        feeds.append(changes_or_folder(t, full, allowed, tree, settings))
+        sources = known_size(full.select("source_db"))
+        listing = catalog_objects(t, package_name).join(sources, "source_db", "left_semi")
+    if not rest.isEmpty() or not feeds:
+        feeds.append(changes_all(t, rest, allowed, settings))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+    return capture(rows, states, store, settings=settings, how=how, listing=listing)
 
 
 @dataclass(frozen=True)
@@ -178,6 +249,20 @@ class PollStatus:
     error: str | None = None
 
 
+def cause(error: BaseException) -> str:
+    """Class and first line of the root cause, without the options of a connection."""
+    while error.__cause__ is not None:
+        error = error.__cause__
+    name, text = type(error).__name__, str(error)
+    java = getattr(error, "java_exception", None)
+    if java is not None:
+        while java.getCause() is not None:
+            java = java.getCause()
+        name, text = java.getClass().getSimpleName(), java.getMessage() or ""
+    first = next(iter(text.strip().splitlines()), "")
+    return f"{name}: {re.sub(r'jdbc:[^ ]+', 'jdbc:...', first)}"[:500].rstrip(": ")
+
+
 def poll_all(spark: SparkSession, polls: dict, parallel=4) -> DataFrame:
     """Run one poll per source, each a callable that returns its poll id; an error in one source
     stays there. The result has one status row per source."""
@@ -188,7 +273,7 @@ def poll_all(spark: SparkSession, polls: dict, parallel=4) -> DataFrame:
             return PollStatus(source, "ok", poll())
         except Exception as error:  # the status row carries it
             logger.exception("poll of %s failed", source)
-            return PollStatus(source, "failed", None, type(error).__name__)
+            return PollStatus(source, "failed", None, cause(error))
 
     with ThreadPoolExecutor(parallel) as pool:
         statuses = list(pool.map(one, polls.items()))

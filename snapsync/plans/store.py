@@ -1,19 +1,33 @@
-"""Tables that a poll reads and writes: object versions, change sets, control.
+"""Tables that a poll reads and writes: object versions, change sets, their messages, control.
 
-Versions and change sets are only ever appended, each poll to its own partition. A poll counts
-once its control rows are there; they are written last, so a failed or repeated poll leaves nothing
-that a reader can see.
+Each poll writes to folders of its own, so that polls that run at the same time share nothing, and
+its control rows last. A poll counts once they are there: what a failed attempt wrote is in a folder
+that no control row names, and is never read.
+
+`fold` writes the newest version of each path once more, in one piece. Snapshots read the last fold
+and the folders of the polls since; the versions themselves stay as history.
 """
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapsync import schemas
+from snapsync.operators.joins import known_size
 from snapsync.operators.ordering import latest_row
 from snapsync.settings import Settings
 
-PARTITIONS = ("source_db", "epoch", "poll")
+NUMBERED_VERSIONS = T.StructType([*schemas.OBJECT_VERSIONS.fields, T.StructField("poll_no", T.LongType())])
+FOLDED = T.StructType(
+    [T.StructField(c, k) for c, k in (("fold", T.StringType()), ("fold_no", T.LongType()), ("poll", T.StringType()))]
+)
+TABLES = {
+    "versions": schemas.OBJECT_VERSIONS,
+    "changesets": schemas.CHANGESETS,
+    "messages": schemas.MESSAGES,
+    "control": schemas.CONTROL,
+}
 
 
 @dataclass(frozen=True)
@@ -21,72 +35,128 @@ class Store:
     root: str
 
     def create(self, spark: SparkSession) -> "Store":
-        for name, schema in (
-            ("versions", schemas.OBJECT_VERSIONS),
-            ("changesets", schemas.CHANGESETS),
-            ("control", schemas.CONTROL),
-        ):
+        for name, schema in [*TABLES.items(), ("folded", FOLDED)]:
             spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
         return self
 
-    def _read(self, spark, name, schema) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{self.root}/{name}")
+    def _read(self, spark, name) -> DataFrame:
+        return spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}")
+
+    def _read_polls(self, spark, name, polls: list[str]) -> DataFrame:
+        """The folders of some polls; no other folder is listed."""
+        if not polls:
+            return spark.createDataFrame([], TABLES[name])
+        folders = [f"{self.root}/{name}/poll={poll}" for poll in polls]
+        reader = spark.read.schema(TABLES[name]).option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*folders)
+
+    def _write(self, rows: DataFrame, name: str, poll: str) -> None:
+        columns = [c for c in TABLES[name].fieldNames() if c != "poll"]
+        rows.select(*columns).write.mode("error").parquet(f"{self.root}/{name}/poll={poll}")
 
     def control(self, spark) -> DataFrame:
-        return self._read(spark, "control", schemas.CONTROL)
+        return self._read(spark, "control")
 
-    def _committed(self, spark, rows: DataFrame) -> DataFrame:
-        polls = self.control(spark).select(*PARTITIONS, "poll_no")
-        return rows.join(polls, list(PARTITIONS))
+    def has_poll(self, spark, label: str) -> bool:
+        """Is there a committed poll of exactly this label?"""
+        return not self.control(spark).where(F.substring_index("poll", ".", 1) == label).isEmpty()
+
+    def _numbers(self, spark) -> DataFrame:
+        """(poll, poll_no) of the committed polls."""
+        return known_size(self.control(spark).groupBy("poll").agg(F.max("poll_no").alias("poll_no")))
+
+    def _committed(self, spark, name) -> DataFrame:
+        return self._read(spark, name).join(self._numbers(spark), "poll")
 
     def versions(self, spark) -> DataFrame:
-        return self._committed(spark, self._read(spark, "versions", schemas.OBJECT_VERSIONS))
+        """All versions of all committed polls."""
+        return self._committed(spark, "versions")
 
     def changesets(self, spark) -> DataFrame:
-        return self._committed(spark, self._read(spark, "changesets", schemas.CHANGESETS))
+        return self._committed(spark, "changesets")
+
+    def messages(self, spark) -> DataFrame:
+        return self._committed(spark, "messages")
 
     def poll_versions(self, spark, poll: str) -> DataFrame:
         """Rows of one poll, committed or not."""
-        rows = self._read(spark, "versions", schemas.OBJECT_VERSIONS)
-        return rows.where(F.col("poll") == poll)
+        return self._read_polls(spark, "versions", [poll])
+
+    def _last_fold(self, spark) -> str | None:
+        folded = spark.read.schema(FOLDED).parquet(f"{self.root}/folded")
+        newest = folded.agg(F.max_by("fold", F.struct("fold_no", "fold"))).first()[0]
+        return newest
+
+    def current(self, spark) -> DataFrame:
+        """Versions that a snapshot needs: the last fold and the polls since then."""
+        fold = self._last_fold(spark)
+        numbers = self._numbers(spark)
+        rows = None
+        if fold is not None:
+            done = spark.read.schema(FOLDED).parquet(f"{self.root}/folded").where(F.col("fold") == fold)
+            numbers = numbers.join(done.select("poll"), "poll", "left_anti")
+            rows = spark.read.schema(NUMBERED_VERSIONS).parquet(f"{self.root}/folds/{fold}")
+        numbers = known_size(numbers)
+        since = numbers.collect()  # the polls since the last fold, one row each
+        new = self._read_polls(spark, "versions", [r.poll for r in since]).join(numbers, "poll")
+        return new if rows is None else rows.unionByName(new)
+
+    def fold(self, spark) -> str:
+        """Write the newest version of each path of each epoch in one piece."""
+        control = self.control(spark)
+        polls = [r.poll for r in control.select("poll").distinct().collect()]
+        number = control.agg(F.max("poll_no")).first()[0] or 0
+        fold = f"fold-{uuid.uuid4().hex}"
+        newest = latest_row(self.current(spark), ["source_db", "epoch", "path"], newest_first())
+        newest.select(*NUMBERED_VERSIONS.fieldNames()).write.mode("error").parquet(
+            f"{self.root}/folds/{fold}"
+        )
+        # Polls named before the versions were read; one that came between is read again later.
+        held = [(fold, number, poll) for poll in polls]
+        spark.createDataFrame(held, FOLDED).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/folded/{fold}"
+        )
+        return fold
 
-    def last_control(self, spark) -> DataFrame:
-        """Newest control row of each source."""
-        return latest_row(self.control(spark), ["source_db"], [F.desc("poll_no")])
+    def last_control(self, spark, settings=Settings()) -> DataFrame:
+        """Newest control row of each source, without commits to the base epoch."""
+        own = self.control(spark).where(~F.col("epoch").eqNullSafe(settings.base_epoch))
+        return latest_row(own, ["source_db"], [F.desc("poll_no"), F.desc("poll")])
 
     def next_poll_no(self, spark) -> int:
         newest = self.control(spark).agg(F.max("poll_no")).first()[0]
         return (newest or 0) + 1
 
-    def append_versions(self, rows: DataFrame) -> None:
-        self._append(rows, "versions", schemas.OBJECT_VERSIONS)
+    def append_versions(self, rows: DataFrame, poll: str) -> None:
+        self._write(rows, "versions", poll)
 
-    def append_changesets(self, rows: DataFrame) -> None:
-        self._append(rows, "changesets", schemas.CHANGESETS)
+    def append_changesets(self, rows: DataFrame, poll: str) -> None:
+        self._write(rows, "changesets", poll)
 
-    def _append(self, rows, name, schema) -> None:
-        rows.select(*schema.fieldNames()).write.mode("append").partitionBy(*PARTITIONS).parquet(
-            f"{self.root}/{name}"
-        )
+    def append_messages(self, rows: DataFrame, poll: str) -> None:
+        self._write(rows, "messages", poll)
 
-    def append_control(self, rows: DataFrame) -> None:
-        """One row per source."""
-        rows.select(*schemas.CONTROL.fieldNames()).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/control"
-        )
+    def append_control(self, rows: DataFrame, poll: str) -> None:
+        """One row per source; a poll counts from here on."""
+        self._write(rows.coalesce(1), "control", poll)
+
+
+def newest_first():
+    return [F.desc("poll_no"), F.desc_nulls_last("modified"), F.desc("poll")]
 
 
 def epoch_snapshot(versions: DataFrame, epochs: DataFrame, settings=Settings()) -> DataFrame:
     """Current files of each source's epoch: rows of the epoch laid over those of the base epoch.
 
-    `epochs` has (source_db, epoch). Versions have poll_no; the newest version of a path wins.
+    `epochs` has (source_db, epoch), one row per source. Versions have poll_no; the newest version
+    of a path wins.
     """
-    current = epochs.select("source_db", F.col("epoch").alias("_epoch"))
+    current = known_size(epochs.select("source_db", F.col("epoch").alias("_epoch")))
     is_base = F.col("epoch") == settings.base_epoch
     seen = versions.join(current, "source_db").where(is_base | (F.col("epoch") == F.col("_epoch")))
-    newest = latest_row(
-        seen,
-        ["source_db", "path"],
-        [is_base.asc(), F.desc("poll_no"), F.desc_nulls_last("modified")],
-    )
+    order = [F.desc("poll_no"), F.desc_nulls_last("modified")]
+    if "poll" in versions.columns:
+        order.append(F.desc("poll"))
+    # Epoch rows come first, also where the epoch is the base itself.
+    newest = latest_row(seen, ["source_db", "path"], [is_base.asc(), *order])
     return newest.where(~F.coalesce("removed", F.lit(False))).drop("_epoch")

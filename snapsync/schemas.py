@@ -47,12 +47,20 @@ CHANGESETS = _schema(
     epoch=STRING,
     poll=STRING,
     changeset_id=LONG,
-    message_no=LONG,
     author=STRING,
     author_email=STRING,
     committer=STRING,
     author_time=STRING,
     n_rows=LONG,
+    n_messages=LONG,
+)
+MESSAGES = _schema(
+    source_db=STRING,
+    epoch=STRING,
+    poll=STRING,
+    changeset_id=LONG,
+    message_no=LONG,
+    n_objects=LONG,
     message=STRING,
 )
 CONTROL = _schema(

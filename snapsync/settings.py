@@ -2,9 +2,6 @@
 
 from dataclasses import dataclass
 
-MB = 1024 * 1024
-
-
 @dataclass(frozen=True)
 class Settings:
     # Load constants, folder names and author texts.
@@ -19,9 +16,7 @@ class Settings:
     message_prefix: str = "autosave "
     base_epoch: str = "master"
 
-    # Names listed in one message row; a larger change set goes on in further rows.
+    # Objects listed in one message; the messages of a larger change set are numbered.
     names_per_message: int = 100_000
     # Lines joined in one task before the blocks of a long text are put together.
     lines_per_block: int = 4096
-    # Up to this plan size an ordered pass may keep one group in one task.
-    one_task_bytes: int = 64 * MB

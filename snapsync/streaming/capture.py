@@ -1,9 +1,12 @@
 """Capture of a stream of change rows."""
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapsync.functions.times import epoch_name
+from snapsync.operators.sizing import written
 from snapsync.plans.poll import capture
 from snapsync.plans.store import Store
 from snapsync.settings import Settings
@@ -15,34 +18,49 @@ def capture_stream(
     checkpoint: str,
     settings=Settings(),
     interval: str | None = None,
-    how="auto",
+    how="ranges",
 ) -> StreamingQuery:
     """Turn each micro-batch into object versions and change sets of the store.
 
     Without an interval the query takes what is there and ends. A batch that is delivered again
-    after a failure is skipped when its control rows exist, and starts anew when they do not.
+    after a failure is skipped when its control rows exist, and starts anew when they do not. It is
+    known by the id that its checkpoint gave the query, so that other streams into the store, or one
+    with a new checkpoint, are not taken for it. A mark never moves back.
     """
+    started: Future = Future()
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        label = f"stream-{batch_id:010d}"
-        if not store.control(spark).where(F.col("poll").startswith(label)).isEmpty():
+        label = f"stream-{started.result()}-{batch_id:010d}"
+        if store.has_poll(spark, label):
             return
-        now = batch.groupBy("source_db").agg(F.max("modified").alias("as_of"))
-        known = store.last_control(spark).select("source_db", F.col("epoch").alias("_epoch"))
-        states = (
-            now.join(known, "source_db", "left")
-            .withColumn(
-                "epoch", F.coalesce("_epoch", epoch_name(F.col("source_db"), F.col("as_of")))
-            )
-            .withColumn("local_time", F.col("as_of"))
-            .drop("_epoch")
+        rows = written(batch, "batch")
+        now = rows.groupBy("source_db").agg(F.max("modified").alias("newest"))
+        known = store.last_control(spark, settings).select(
+            "source_db", F.col("epoch").alias("known"), "high_water"
+        )
+        states = now.join(known, "source_db", "left").withColumn(
+            "as_of", F.greatest("newest", "high_water")
+        )
+        # A source whose rows have no time at all has an epoch without one.
+        first = F.coalesce(epoch_name(F.col("source_db"), F.col("as_of")), F.col("source_db"))
+        states = states.select(
+            "source_db",
+            F.coalesce("known", first).alias("epoch"),
+            "as_of",
+            F.col("as_of").alias("local_time"),
         )
-        capture(batch, states, store, label, settings, how)
+        capture(rows, written(states, "states"), store, label, settings, how)
 
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    try:
+        query = writer.trigger(**trigger).start()
+    except BaseException as error:
+        started.set_exception(error)
+        raise
+    started.set_result(query.id)
+    return query
 
 
 def first_seen(rows: DataFrame, keys, delay: str, time="modified") -> DataFrame:

@@ -1,5 +1,7 @@
 """Change reads, snapshot comparison, pulls, change sets and polls."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from snapsync.functions.text import text_sha
@@ -7,6 +9,7 @@ from snapsync.operators import changesets, diff
 from snapsync.operators.sizing import new_folder, written
 from snapsync.plans import changes, poll, pull, store
 from snapsync.plans.store import Store
+from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
 from snapsync.streaming.capture import capture_stream, first_seen
 from snapsync.workload import fixtures as fx
@@ -241,7 +244,7 @@ def _effective(spark, sf, how):
 
 @query("effective_changes", _EFFECTIVE)
 def effective_changes(spark, sf):
-    return _effective(spark, sf, "auto")
+    return _effective(spark, sf, "window")
 
 
 @query("effective_changes_ranges", _EFFECTIVE)
@@ -388,7 +391,7 @@ def author_islands_ranges(spark, sf):
     return changesets.author_islands(fx.feed(spark, sf), how="ranges")
 
 
-def _sets(feed, shift_days="0", per_message=None):
+def _sets(feed, shift_days="0", per_message=100_000):
     """Change sets of the rows in the CTE named by `feed`."""
     return f"""
         islands as ({_ISLANDS.format(feed=feed)}),
@@ -396,23 +399,50 @@ def _sets(feed, shift_days="0", per_message=None):
                          coalesce(min(user_modified), 'Неизвестный автор') as author,
                          min(modified) as first_time, count(*) as n_rows
                   from islands group by 1, 2),
-        names as (select source_db, changeset_id, class_id,
-                         string_agg(distinct short_name, ', ' order by short_name) as n
-                  from islands group by 1, 2, 3),
-        messages as (select source_db, changeset_id, 'autosave ' || string_agg(class_id || ' [' ||
-                            n || ']', ', ' order by class_id) as message
-                     from names group by 1, 2)
-        select f.source_db, f.changeset_id, 0::bigint as message_no, author,
+        placed as (select *, (row_number() over (partition by source_db, changeset_id
+                                     order by class_id, short_name) - 1) // {per_message} as message_no
+                   from (select distinct source_db, changeset_id, class_id, short_name from islands)),
+        names as (select source_db, changeset_id, message_no, class_id, count(*) as k,
+                         string_agg(short_name, ', ' order by short_name) as n
+                  from placed group by 1, 2, 3, 4),
+        messages as (select source_db, changeset_id, message_no::bigint as message_no,
+                            sum(k)::bigint as n_objects, max(message_no) over (
+                                partition by source_db, changeset_id) + 1 as n_messages,
+                            'autosave ' || string_agg(class_id || ' [' || n || ']', ', '
+                                                      order by class_id) as message
+                     from names group by source_db, changeset_id, names.message_no)
+        select f.source_db, f.changeset_id, m.message_no, author,
                author || '@mail' as author_email, 'sources_sync_job' as committer,
                strftime(first_time - to_hours(3) + to_days({shift_days}), '%d.%m.%YT%H:%M:%S')
-                   as author_time, n_rows, message
+                   as author_time, n_rows, n_messages, n_objects, message
         from facts f join messages m
           on f.source_db = m.source_db and f.changeset_id = m.changeset_id"""
 
 
+def _with_messages(sets, messages, on=("source_db", "changeset_id")):
+    """Change sets beside each of their messages."""
+    return sets.join(messages, list(on))
+
+
 @query("changesets", "with " + _sets("fx_feed"))
 def change_sets(spark, sf):
-    return changesets.changesets(changesets.author_islands(fx.feed(spark, sf)))
+    islands = changesets.author_islands(fx.feed(spark, sf))
+    on = ("source_db", "changeset_id")
+    return _with_messages(
+        changesets.changesets(islands), changesets.changeset_messages(islands, on)
+    )
+
+
+@query("changesets_in_parts", "with " + _sets("fx_feed", per_message=1))
+def change_sets_in_parts(spark, sf):
+    """Messages that list one object each: the sets stay one row each."""
+    settings = replace(Settings(), names_per_message=1)
+    islands = changesets.author_islands(fx.feed(spark, sf))
+    on = ("source_db", "changeset_id")
+    return _with_messages(
+        changesets.changesets(islands, settings=settings),
+        changesets.changeset_messages(islands, on, settings),
+    )
 
 
 _CHANGED = """
@@ -426,12 +456,14 @@ _CHANGED = """
 @query("poll_changesets", f"with {_CHANGED}, " + _sets("changed"))
 def poll_changesets(spark, sf):
     """The whole incremental path: newest row per file, changed ones, islands, change sets."""
-    return poll.poll_changesets(fx.recent_feed(spark, sf), fx.baseline(spark, sf))
+    return _with_messages(
+        *poll.poll_changesets(fx.recent_feed(spark, sf), fx.baseline(spark, sf), how="window")
+    )
 
 
 @query("poll_changesets_ranges", f"with {_CHANGED}, " + _sets("changed"))
 def poll_changesets_ranges(spark, sf):
-    return poll.poll_changesets(fx.recent_feed(spark, sf), fx.baseline(spark, sf), how="ranges")
+    return _with_messages(*poll.poll_changesets(fx.recent_feed(spark, sf), fx.baseline(spark, sf)))
 
 
 # --- incremental state -------------------------------------------------------------------------
@@ -523,10 +555,19 @@ _SET_COLUMNS = (
     "committer",
     "author_time",
     "n_rows",
+    "n_messages",
+    "n_objects",
     "message",
 )
 
 
+def _stored_sets(spark, tables):
+    """The stored change sets beside their messages."""
+    on = ("source_db", "epoch", "poll", "poll_no", "changeset_id")
+    sets = _with_messages(tables.changesets(spark), tables.messages(spark), on)
+    return sets.select(*_SET_COLUMNS)
+
+
 @query("poll_capture", _CAPTURED + _sets("changed", shift_days="2"))
 def poll_capture(spark, sf):
     """A poll through the stored tables: the feed is captured twice and counts once."""
@@ -534,7 +575,7 @@ def poll_capture(spark, sf):
     states = fx.now(spark, sf).withColumn("epoch", F.lit("first"))
     for _ in range(2):
         poll.capture(fx.feed(spark, sf).drop("path"), states, tables)
-    return tables.changesets(spark).select(*_SET_COLUMNS)
+    return _stored_sets(spark, tables)
 
 
 def _event_stream(spark, sf):
@@ -551,7 +592,7 @@ def stream_changes(spark, sf):
     tables = Store(f"{folder}/store").create(spark)
     rows = _event_stream(spark, sf).drop("path")
     capture_stream(rows, tables, f"{folder}/checkpoint").awaitTermination()
-    return tables.changesets(spark).select(*_SET_COLUMNS)
+    return _stored_sets(spark, tables)
 
 
 @query(

@@ -323,6 +323,9 @@ def names_per_class(spark, sf):
                              string_agg(distinct short_name, ', ' order by short_name) as n
                       from fx_methods group by 1, 2, 3)
        select source_db, user_modified, 0::bigint as message_no,
+              (select count(distinct (class_id, short_name)) from fx_methods m
+               where m.source_db = names.source_db
+                 and m.user_modified is not distinct from names.user_modified) as n_objects,
               'autosave ' || string_agg(class_id || ' [' || n || ']', ', ' order by class_id)
                   as message
        from names group by 1, 2""",

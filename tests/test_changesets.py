@@ -4,9 +4,10 @@ import pytest
 from conftest import at, tuples
 from pyspark.sql import functions as F
 
-from snapsync.operators.changesets import author_islands, changesets
+from snapsync.operators.changesets import author_islands, changeset_messages, changesets
 from snapsync.settings import Settings
 
+GROUPS = ("source_db", "changeset_id")
 SCHEMA = (
     "source_db string, type string, class_id string, short_name string, modified timestamp_ntz, "
     "user_modified string"
@@ -37,7 +38,9 @@ def test_change_set_facts_and_message(spark):
         change("u", 4, "N3", "C0"), change("", 5, "X"), change(None, 6, "Y"),
     ]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = changesets(author_islands(df), shift_days=F.lit(1))
+    islands = author_islands(df)
+    messages = changeset_messages(islands, GROUPS)
+    got = changesets(islands, shift_days=F.lit(1)).join(messages, list(GROUPS))
     unknown = Settings.unknown_author
     assert tuples(
         got, "changeset_id", "author", "author_email", "committer", "author_time", "n_rows", "message"
@@ -53,18 +56,24 @@ def test_change_set_facts_and_message(spark):
 
 def test_null_classes_and_names_are_not_listed(spark):
     df = spark.createDataFrame([change("u", 1, None, "C"), change("u", 2, "N", None)], SCHEMA)
-    assert tuples(changesets(author_islands(df)), "n_rows", "message") == [(2, "autosave C []")]
-    df = spark.createDataFrame([change("u", 2, "N", None)], SCHEMA)
-    assert tuples(changesets(author_islands(df)), "message_no", "message") == [(0, "autosave ")]
+    islands = author_islands(df)
+    assert tuples(changesets(islands), "n_rows", "n_messages") == [(2, 1)]
+    assert tuples(changeset_messages(islands, GROUPS), "message") == [("autosave C []",)]
+    islands = author_islands(spark.createDataFrame([change("u", 2, "N", None)], SCHEMA))
+    assert tuples(changesets(islands), "n_rows", "n_messages") == [(1, 0)]
+    assert changeset_messages(islands, GROUPS).isEmpty()
 
 
 @pytest.mark.parametrize("how", ["window", "ranges"])
 def test_a_large_change_set_goes_on_in_further_messages(spark, how):
     rows = [change("u", 1, f"N{i}", f"C{i // 3}") for i in range(5)]
     settings = replace(Settings(), names_per_message=2)
-    got = changesets(author_islands(spark.createDataFrame(rows, SCHEMA)), settings=settings, how=how)
-    assert tuples(got, "message_no", "n_rows", "message") == [
-        (0, 5, "autosave C0 [N0, N1]"),
-        (1, 5, "autosave C0 [N2], C1 [N3]"),
-        (2, 5, "autosave C1 [N4]"),
+    islands = author_islands(spark.createDataFrame(rows, SCHEMA))
+    # one row per change set, so that the sets' rows add up to all rows
+    assert tuples(changesets(islands, settings=settings), "n_rows", "n_messages") == [(5, 3)]
+    got = changeset_messages(islands, GROUPS, settings, how)
+    assert tuples(got, "message_no", "n_objects", "message") == [
+        (0, 2, "autosave C0 [N0, N1]"),
+        (1, 2, "autosave C0 [N2], C1 [N3]"),
+        (2, 1, "autosave C1 [N4]"),
     ]

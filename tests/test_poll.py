@@ -4,6 +4,7 @@ from conftest import at, tuples
 from pyspark.sql import functions as F
 
 from snapsync import schemas
+from snapsync.operators.joins import with_bounds
 from snapsync.plans import poll
 from snapsync.plans.store import Store, epoch_snapshot
 
@@ -56,7 +57,8 @@ def test_capture_twice_counts_once(spark, store):
     assert tuples(store.versions(spark), "source_db", "path", "text") == [
         ("a", "C/N1.sql", "2"), ("a", "C/N2.sql", "1"), ("b", "C/N1.sql", "1"),
     ]
-    assert tuples(store.changesets(spark), "source_db", "changeset_id", "author", "message") == [
+    sets = store.changesets(spark).join(store.messages(spark), ["source_db", "poll", "changeset_id"])
+    assert tuples(sets, "source_db", "changeset_id", "author", "message") == [
         ("a", 1, "u", "autosave C [N2]"), ("a", 2, "v", "autosave C [N1]"),
         ("b", 1, "Неизвестный автор", "autosave C [N1]"),
     ]
@@ -132,7 +134,109 @@ def test_an_error_in_one_source_stays_there(spark):
         raise ConnectionError("lost")
 
     status = poll.poll_all(spark, {"a": lambda: "poll-1", "b": broken})
-    assert tuples(status) == [("a", "ok", "poll-1", None), ("b", "failed", None, "ConnectionError")]
+    assert tuples(status) == [
+        ("a", "ok", "poll-1", None), ("b", "failed", None, "ConnectionError: lost"),
+    ]
+
+
+def test_parallel_polls_lose_nothing(spark, store):
+    names = [f"db{i}" for i in range(8)]
+
+    def one(db):
+        rows = [(db, f"N{i}", f"2024-06-{1 + i % 20:02}", f"u{i % 3}", f"{i}") for i in range(40)]
+        return lambda: poll.capture(feed(spark, *rows), states(spark, (db, "e", "2024-06-30")), store)
+
+    def broken():
+        raise ValueError("no jdbc:oracle:thin:user/secret@host here")
+
+    polls = {db: one(db) for db in names} | {"bad": broken}
+    status = {r.source: r for r in poll.poll_all(spark, polls, parallel=8).collect()}
+    assert all(status[db].status == "ok" for db in names)
+    assert status["bad"].status == "failed" and "secret" not in status["bad"].error
+    counts = {r.source_db: r["count"] for r in store.versions(spark).groupBy("source_db").count().collect()}
+    assert counts == {db: 40 for db in names}
+    sets = store.changesets(spark).groupBy("source_db").sum("n_rows").collect()
+    assert sorted(tuple(r) for r in sets) == [(db, 40) for db in names]
+
+
+def test_rows_without_a_path_are_kept(spark, store):
+    full = [
+        ("a", "VIEW", None, "N1", at("2024-06-01"), "u", None, "1"),
+        ("a", "VIEW", None, "N2", at("2024-06-01"), "u", None, "2"),
+        ("a", "VIEW", "C", None, at("2024-06-01"), "u", None, "3"),
+        ("a", "METHOD", None, None, at("2024-06-01"), "u", "body", "4"),
+        ("a", "METHOD", None, None, at("2024-06-02"), "u", "body", "5"),
+    ]
+    rows = spark.createDataFrame(full, schemas.CHANGE_ROWS)
+    now = states(spark, ("a", "e", "2024-06-30"))
+    poll.capture(rows, now, store)
+    poll.capture(rows, now, store)
+    assert sorted(r.text for r in store.versions(spark).collect()) == ["1", "2", "3", "5"]
+    bare = rows.withColumn("path", F.lit(None).cast("string"))
+    assert poll.newest_per_path(bare).count() == 4
+
+
+def test_a_listing_removes_what_a_source_lost(spark, store):
+    now = states(spark, ("a", "e", "2024-06-30"), ("b", "e", "2024-06-30"))
+    poll.capture(feed(spark, *ROWS), now, store)
+    listed = spark.createDataFrame(
+        [("a", "VIEW", "C", "N2")], "source_db string, type string, class_id string, short_name string"
+    )
+    poll.capture(feed(spark), now, store, listing=listed)
+    # the listing speaks for source a alone
+    assert tuples(epoch_snapshot(store.current(spark), now), "source_db", "path") == [
+        ("a", "C/N2.sql"), ("b", "C/N1.sql"),
+    ]
+    assert tuples(store.versions(spark).where("removed"), "path") == [("C/N1.sql",)]
+    assert store.changesets(spark).groupBy().sum("n_rows").first()[0] == 3
+
+
+def test_folding_changes_no_snapshot(spark, store):
+    now = states(spark, ("a", "e", "2024-06-30"), ("b", "e", "2024-06-30"))
+
+    def snapshot():
+        return tuples(epoch_snapshot(store.current(spark), now), "source_db", "path", "text", "poll_no")
+
+    poll.capture(feed(spark, *ROWS[:2]), now, store)
+    store.fold(spark)
+    poll.capture(feed(spark, *ROWS[2:]), now, store)
+    before = snapshot()
+    assert before == tuples(
+        epoch_snapshot(store.versions(spark), now), "source_db", "path", "text", "poll_no"
+    )
+    store.fold(spark)
+    assert snapshot() == before and len(before) == 3
+    poll.capture(feed(spark, ("b", "N9", "2024-06-09", "u", "9")), now, store)
+    assert len(snapshot()) == 4
+
+
+def test_a_new_epoch_starts_from_the_base(spark, store):
+    own = states(spark, ("a", "own", "2024-06-30"), ("b", "own", "2024-06-30"))
+    poll.capture(feed(spark, *ROWS), own, store)
+    poll.merge_into_base(spark, store)
+    new = states(spark, ("a", "new", "2024-07-30"))
+    assert tuples(epoch_snapshot(store.current(spark), new), "path", "text") == [
+        ("C/N1.sql", "2"), ("C/N2.sql", "1"),
+    ]
+    # the base is no source's present epoch
+    assert {r.epoch for r in store.last_control(spark).collect()} == {"own"}
+    poll.capture(feed(spark, *ROWS), new, store)
+    assert store.versions(spark).where("epoch = 'new'").isEmpty()
+    gone = spark.createDataFrame(
+        [("a", "VIEW", "C", "N2")], "source_db string, type string, class_id string, short_name string"
+    )
+    poll.capture(feed(spark), own, store, listing=gone)
+    poll.merge_into_base(spark, store)
+    assert tuples(epoch_snapshot(store.current(spark), new), "path") == [("C/N2.sql",)]
+
+
+def test_sources_do_not_shuffle_the_feed(spark):
+    """The size of the small side is not known to the optimizer, but looked up."""
+    unknown = states(spark, ("a", "e", "2024-06-30")).select(
+        "source_db", F.col("as_of").alias("last"), "as_of"
+    ).repartition(3).mapInArrow(lambda batches: batches, "source_db string, last timestamp_ntz, as_of timestamp_ntz")
+    plan = with_bounds(feed(spark, *ROWS), unknown)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(source_db" not in plan
 
 
 def test_late_rows(spark):
