@@ -13,16 +13,34 @@ def joined_in_order(order, text, separator=""):
     return F.array_join(rows["_text"], separator)
 
 
-def nested_lines(lines: DataFrame, keys, line="line", ties=(), text="text") -> DataFrame:
-    """One row per key with its lines as an ordered array<struct<line, text>>."""
+def nested_lines(
+    lines: DataFrame,
+    keys,
+    line="line",
+    ties=(),
+    text="text",
+    lines_per_block=Settings.lines_per_block,
+) -> DataFrame:
+    """One row per key with its lines as an ordered array<struct<line, text>>, put together block by
+    block as in `assemble_text`."""
     rows = F.sort_array(F.collect_list(F.struct(line, *ties, text)))
+    pairs = F.arrays_zip(rows[line].alias("line"), rows[text].alias("text"))
+    blocks = F.sort_array(F.collect_list(F.struct("_block", F.col("_lines"))))
     return (
-        lines.repartition(*keys)
+        _blocks(lines, list(keys), line, lines_per_block)
+        .agg(pairs.alias("_lines"))
         .groupBy(*keys)
-        .agg(F.arrays_zip(rows[line].alias("line"), rows[text].alias("text")).alias("lines"))
+        .agg(F.flatten(blocks["_lines"]).alias("lines"))
     )
 
 
+def _blocks(lines: DataFrame, keys: list, line: str, lines_per_block: int):
+    """Lines grouped by key and block of line numbers. They are moved once, by the key alone: that
+    also places the blocks of a key together, so that no later grouping moves anything."""
+    block = F.floor(F.col(line) / lines_per_block)
+    return lines.withColumn("_block", block).repartition(*keys).groupBy(*keys, "_block")
+
+
 def assemble_text(
     lines: DataFrame,
     keys,
@@ -33,29 +51,18 @@ def assemble_text(
 ) -> DataFrame:
     """One text per key: every line in order, each followed by a line end; null lines are empty.
 
-    Texts that reach beyond one block of line numbers are joined block by block in as many tasks,
-    then from their blocks. The others, nearly all, move once. Lines are moved before they are
-    collected: collecting first would not make them fewer, only larger.
+    A task holds the lines of one block at a time and the joined blocks of one text, which is one
+    cell in the end. Lines are read and moved once, and before they are collected: collecting first
+    would not make them fewer, only larger.
     """
     keys = list(keys)
     piece = F.concat(or_empty(F.col(text)), F.lit("\n"))
-    long_keys = lines.where(F.col(line) >= lines_per_block).select(*keys).distinct()
-    short = (
-        lines.join(long_keys, keys, "left_anti")
-        .repartition(*keys)
-        .groupBy(*keys)
-        .agg(joined_in_order([line, *ties], piece).alias("text"))
-    )
-    long = (
-        lines.join(long_keys, keys, "left_semi")
-        .withColumn("_block", F.floor(F.col(line) / lines_per_block))
-        .repartition(*keys, "_block")
-        .groupBy(*keys, "_block")
+    return (
+        _blocks(lines, keys, line, lines_per_block)
         .agg(joined_in_order([line, *ties], piece).alias("_block_text"))
         .groupBy(*keys)
         .agg(joined_in_order(["_block"], F.col("_block_text")).alias("text"))
     )
-    return short.unionByName(long)
 
 
 def list_names(

@@ -5,7 +5,7 @@ A snapshot has (source_db, type, class_id, short_name, path, text), one row per
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapsync.functions.names import KIND_SUFFIXES, object_path
+from snapsync.functions.names import KIND_SUFFIXES, object_path, part_of_file
 from snapsync.functions.text import nonempty, normalized_text
 from snapsync.operators import diff, predicates
 from snapsync.operators.predicates import OBJECT_KEY
@@ -137,6 +137,21 @@ def refresh_classes(t: Tables, files: DataFrame, settings=Settings()) -> DataFra
     )
 
 
+def publish_tree(
+    tree: DataFrame, listed: DataFrame, text: str, write, settings=Settings()
+) -> None:
+    """Hand the staging rows of the listed methods of a tree listing to `write`, which appends a
+    DataFrame to the staging table (`append_jdbc`, say). Compiling them stays with the database."""
+    files = snapshot_of_files(tree, settings)
+    write(publish_rows(with_parts(files), listed, text))
+
+
+def with_parts(files: DataFrame) -> DataFrame:
+    """Snapshot rows with the method part that each file holds; null for other files."""
+    name = F.substring_index("path", "/", -1)
+    return files.withColumn("part", part_of_file(name))
+
+
 def publish_rows(files: DataFrame, listed: DataFrame, text: str) -> DataFrame:
     """Staging rows of the listed methods: upper-case key and one nullable column per part."""
     names = predicates.parse_object_list(listed, text)

@@ -15,15 +15,20 @@ def jdbc_scan(
     table: str | None = None,
     split: dict | None = None,
     empty_as_null=False,
+    single_task=False,
+    fetch_size=10_000,
 ) -> DataFrame:
     """Read a query or a table. `split` (partitionColumn, lowerBound, upperBound, numPartitions)
-    makes the read parallel; without it the database sends all rows to one task.
+    makes the read parallel; without it the database sends all rows to one task, which must be asked
+    for by `single_task`.
 
     The statement is logged, without the options, when the database refuses it.
     """
     if (query is None) == (table is None):
         raise ValueError("give either a query or a table")
-    reader = spark.read.format("jdbc").options(**options)
+    if not split and not single_task:
+        raise ValueError("give split, or single_task=True for a small result")
+    reader = spark.read.format("jdbc").options(**{"fetchsize": str(fetch_size), **options})
     if split:
         # The JDBC source splits tables only; a query becomes a derived table.
         reader = reader.options(**split).option("dbtable", table or f"({query}) q")

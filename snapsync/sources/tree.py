@@ -116,13 +116,21 @@ def parts_long(wide: DataFrame, keys=("class_id", "short_name")) -> DataFrame:
 def write_tree(rows: DataFrame, root: str) -> None:
     """Write `text` of each row to root/path; a null or empty text removes the file.
 
-    `root` is a folder that all executors share. Each file is replaced in one step, so that a task
-    that is run again leaves the same tree.
+    `root` is a local path of a folder that all executors share (a mounted file system); another
+    scheme is refused, as each executor would make a folder of that name on its own disk. So are paths
+    that lead out of the root. Each file is replaced in one step, so that a task that is run again
+    leaves the same tree.
     """
+    scheme, found, rest = root.partition("://")
+    if found and scheme != "file":
+        raise ValueError(f"write_tree writes to a mounted folder, not to {scheme}://")
+    root = os.path.abspath(rest if found else root)
 
     def write(partition):
         for path, text in partition:
-            target = os.path.join(root, path)
+            target = os.path.normpath(os.path.join(root, path))
+            if os.path.commonpath([root, target]) != root or target == root:
+                raise ValueError(f"path leads out of the tree: {path}")
             if not text:
                 if os.path.exists(target):
                     os.remove(target)

@@ -309,12 +309,12 @@ LISTED = """
     select distinct split_part(pair, '.', 1) as class_id, split_part(pair, '.', 2) as short_name
     from (select unnest(string_split(o_orderpriority || '.M' || o_custkey || ',' ||
                  o_orderpriority || '.M' || o_orderkey, ',')) as pair
-          from orders where o_orderstatus = 'F')"""
+          from orders)"""
 
 
 def object_lists(spark, sf):
-    """Texts CLASS.NAME,CLASS.NAME, one per finished order."""
-    orders = fx.table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    """Texts CLASS.NAME,CLASS.NAME, one per order."""
+    orders = fx.table(spark, sf, "orders")
     return orders.select(
         F.concat(
             "o_orderpriority",
@@ -341,14 +341,7 @@ def object_lists(spark, sf):
         from parts group by 1, 2, 3""",
 )
 def publish_rows(spark, sf):
-    files = tree.typed_files(fx.files(spark, sf)).select(
-        "source_db",
-        "type",
-        F.col("folder").alias("class_id"),
-        F.substring_index("file", ".", 1).alias("short_name"),
-        F.regexp_extract("file", r"\.(%s)\.sql$" % "|".join(METHOD_PARTS), 1).alias("part"),
-        "text",
-    )
+    files = pull.with_parts(pull.snapshot_of_files(fx.files(spark, sf)))
     return pull.publish_rows(files, object_lists(spark, sf), "list")
 
 
@@ -368,7 +361,7 @@ def select_by_list(spark, sf):
     """select split_part(pair, '.', 1) as class_id, split_part(pair, '.', 2) as short_name
        from (select unnest(string_split(o_orderpriority || '.M' || o_custkey || ',' ||
                     o_orderpriority || '.M' || o_orderkey, ',')) as pair
-             from orders where o_orderstatus = 'F')""",
+             from orders)""",
 )
 def parse_object_list(spark, sf):
     return predicates.parse_object_list(object_lists(spark, sf), "list")

@@ -6,7 +6,7 @@ from snapsync.functions.names import part_types
 from snapsync.functions.text import nonblank, strip_domain
 from snapsync.functions.times import days
 from snapsync.operators import assembly, changesets, diff, joins, predicates
-from snapsync.operators.ordering import latest_row
+from snapsync.operators.ordering import latest_row, number_rows
 from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
 from snapsync.workload import fixtures as fx
@@ -389,16 +389,32 @@ def newest_rows(spark, sf):
 # --- orders and set operations -----------------------------------------------------------------
 
 
-@query("recent_first", f"select * from ({CATALOG4}) order by modified desc nulls last")
+_RECENT = "modified desc nulls last, source_db, type, class_id, short_name"
+_BY_NAME = "class_id nulls first, short_name nulls first, source_db, type, modified"
+
+
+def _numbered(df, *order):
+    """Rows in order with their place in it, so that a check of the rows also checks the order."""
+    return number_rows(df, [], list(order), "place").orderBy("place")
+
+
+@query(
+    "recent_first",
+    f"select *, row_number() over (order by {_RECENT}) as place from ({CATALOG4}) order by place",
+)
 def recent_first(spark, sf):
     objects = catalog.catalog_objects(fx.tables(spark, sf), fx.PACKAGE)
-    return objects.orderBy(F.desc_nulls_last("modified"))
+    ties = ["source_db", "type", "class_id", "short_name"]
+    return _numbered(objects, F.desc_nulls_last("modified"), *ties)
 
 
-@query("sorted_objects", f"select * from ({CATALOG4}) order by class_id, short_name")
+@query(
+    "sorted_objects",
+    f"select *, row_number() over (order by {_BY_NAME}) as place from ({CATALOG4}) order by place",
+)
 def sorted_objects(spark, sf):
     objects = catalog.catalog_objects(fx.tables(spark, sf), fx.PACKAGE)
-    return objects.orderBy("class_id", "short_name")
+    return _numbered(objects, "class_id", "short_name", "source_db", "type", "modified")
 
 
 @query(

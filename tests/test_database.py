@@ -13,12 +13,14 @@ def test_either_query_or_table(spark):
         database.jdbc_scan(spark, {})
     with pytest.raises(ValueError):
         database.jdbc_scan(spark, {}, query="select 1", table="t")
+    with pytest.raises(ValueError, match="split"):
+        database.jdbc_scan(spark, {}, table="t")
 
 
 def test_failing_statement_is_logged_without_options(spark, caplog):
     options = {"url": "jdbc:none:x", "driver": "no.such.Driver", "password": "hidden"}
     with caplog.at_level(logging.ERROR), pytest.raises(Exception):
-        database.jdbc_scan(spark, options, query="select one thing")
+        database.jdbc_scan(spark, options, query="select one thing", single_task=True)
     message = caplog.records[0].getMessage()
     assert "select one thing" in message and "hidden" not in message
 

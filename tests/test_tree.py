@@ -50,6 +50,18 @@ def test_single_byte_encodings(spark, tmp_path):
     assert tree.read_tree(spark, str(tmp_path), "cp1251").first().text == text
 
 
+def test_paths_stay_in_a_mounted_root(spark, tmp_path):
+    rows = spark.createDataFrame([("C/../../out.sql", "x")], "path string, text string")
+    with pytest.raises(Exception, match="leads out of the tree"):
+        tree.write_tree(rows, str(tmp_path / "root"))
+    assert not (tmp_path / "out.sql").exists()
+    with pytest.raises(ValueError, match="s3a"):
+        tree.write_tree(rows, "s3a://bucket/tree")
+    inside = spark.createDataFrame([("C/a.sql", "x")], "path string, text string")
+    tree.write_tree(inside, f"file://{tmp_path}/root")
+    assert (tmp_path / "root" / "C" / "a.sql").read_text() == "x"
+
+
 def test_written_tree_reads_back(spark, tmp_path):
     rows = spark.createDataFrame(
         [("C", "A", "body", "x\r\ny"), ("C", "A", None, "v"), ("D", "B", "trg", "Ж"), ("D", "E", "", "")],
