@@ -2,10 +2,10 @@
 
 import corpus_pipeline
 import public_tokenizers
-from test_contamination import plain as plain_hits
-from test_lines import plain as plain_lines
-from test_neardup import kmers, lcs
-from test_packing import check as check_packed
+from .test_contamination import plain as plain_hits
+from .test_lines import plain as plain_lines
+from .test_neardup import kmers, lcs
+from .test_packing import check as check_packed
 
 from snapsync.llm import quality
 
