@@ -104,7 +104,7 @@ def method_diary(spark, sf):
 FIXTURE_SQL["fx_criteria"] = """
     select 'db' || (doc_id % 4) as source_db, doc_id as id, source as class_id,
            'V' || doc_id as short_name,
-           timestamp '2024-01-01' + to_minutes((doc_id * 7919) % 43200) as modified,
+           timestamp '2023-12-10' + to_minutes((doc_id * 7919) % 72000) as modified,
            text as condition, case when doc_id % 3 <> 0 then lang end as order_by,
            case when doc_id % 2 <> 0 then n_chars::varchar end as group_by
     from documents"""
@@ -116,7 +116,7 @@ def criteria(spark, sf):
         F.col("doc_id").alias("id"),
         F.col("source").alias("class_id"),
         F.concat(F.lit("V"), "doc_id").alias("short_name"),
-        (_at("2024-01-01") + _minutes(F.col("doc_id") * 7919 % 43200)).alias("modified"),
+        (_at("2023-12-10") + _minutes(F.col("doc_id") * 7919 % 72000)).alias("modified"),
         F.col("text").alias("condition"),
         F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("order_by"),
         F.when(F.col("doc_id") % 2 != 0, F.col("n_chars").cast("string")).alias("group_by"),
@@ -280,8 +280,10 @@ FIXTURE_SQL["fx_files"] = f"""
     select 'db' || (doc_id % 4), source, 'V' || doc_id || '.sql', text
     from documents where lang = 'en'
     union all
-    select 'db' || (c_custkey % 4), substr(c_name, 3), 'T' || c_custkey || '.trg.sql', c_name
-    from customer where c_mktsegment = 'BUILDING'"""
+    select 'db' || (c_custkey % 4), case c_mktsegment when 'BUILDING' then substr(c_name, 3)
+               else substr(c_name, instr(c_name, '#') + 1) end,
+           'T' || c_custkey || '.trg.sql', c_name
+    from customer where c_mktsegment in ('BUILDING', 'MACHINERY')"""
 
 
 def files(spark, sf):
@@ -308,10 +310,12 @@ def files(spark, sf):
     )
     of_customers = (
         table(spark, sf, "customer")
-        .where("c_mktsegment = 'BUILDING'")
+        .where("c_mktsegment in ('BUILDING', 'MACHINERY')")
         .select(
             _db("c_custkey").alias("source_db"),
-            F.substr("c_name", F.lit(3)).alias("folder"),
+            F.when(F.col("c_mktsegment") == "BUILDING", F.substr("c_name", F.lit(3)))
+            .otherwise(F.substring_index("c_name", "#", -1))
+            .alias("folder"),
             F.concat(F.lit("T"), "c_custkey", F.lit(".trg.sql")).alias("file"),
             F.col("c_name").alias("text"),
         )
