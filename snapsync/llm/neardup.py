@@ -3,8 +3,9 @@
 Each k-mer of words is labelled with how often it occurred before in its text. Each of several hash
 functions picks the few smallest labelled k-mers and keeps them in text order; texts with an equal
 pick are candidates. Within a bucket of equal picks a text is compared with the bucket's first text
-and with its neighbour in the order of the other picks, and what remains apart forms new buckets,
-until a round finds no link: a bucket of n texts costs about 2 n comparisons, not n squared.
+and with its neighbour in the order of the next picks, which puts the most alike side by side; the
+texts that are not connected with the bucket's first one are then compared in the same way among
+themselves. A bucket of n texts costs up to 4 n comparisons, not n squared, whatever its size.
 
 A comparison aligns the two k-mer sequences in a band that is as wide as the threshold allows; the
 similarity is the share of aligned k-mers among all of both.
@@ -304,19 +305,28 @@ def _classes(rows: DataFrame, similarity: float) -> DataFrame:
     )
 
     edges = written(verified(candidates(buckets), bodies, similarity))
-    while True:
-        names = written(components(edges))
-        # Members of another component than their bucket's first one go on among themselves.
-        placed = buckets.join(names, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
+    names = components(edges)
+    # Members of another component than their bucket's first one are compared among themselves.
+    placed = buckets.join(names, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    leaders = placed.groupBy("bucket").agg(F.min_by("component", "node").alias("leading"))
+    rest = placed.join(leaders, "bucket").where("component != leading")
+    more = verified(candidates(written(rest.select("bucket", "node", "next"))), bodies, similarity)
+    # The second graph has the first one's components as its nodes.
+    ends = [names.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
+    linked = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    joined = components(
+        linked.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    ).withColumnRenamed("component", "joined")
+    names = names.unionByName(
+        joined.select("node", F.col("node").alias("component")).join(names, "node", "left_anti")
+    )
+    names = written(
+        names.join(joined.withColumnRenamed("node", "component"), "component", "left").select(
+            "node", F.coalesce("joined", "component").alias("component")
         )
-        leaders = placed.groupBy("bucket").agg(F.min_by("component", "node").alias("leading"))
-        rest = placed.join(leaders, "bucket").where("component != leading")
-        buckets = written(rest.select("bucket", "node", "next"))
-        new = written(verified(candidates(buckets), bodies, similarity))
-        if new.isEmpty():
-            break
-        edges = written(edges.unionByName(new))
+    )
 
     named = copies.join(names, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
