@@ -90,3 +90,19 @@ def test_remove_and_drop(spark):
     assert tuples(diff.remove_objects(stored, stored.where("k = 'a'"), ["k"])) == [("UNKNOWN", "b")]
 
 
+
+
+def test_the_ordered_pass_moves_no_texts(spark, monkeypatch):
+    from snapsync.operators import ordering
+
+    seen, write = [], ordering.written
+
+    def recorded(df, name):
+        seen.append(df.columns)
+        return write(df, name)
+
+    monkeypatch.setattr(ordering, "written", recorded)
+    df = spark.createDataFrame([("p", "n", 1), ("p", "o", 2)], "k string, text string, i int")
+    got = diff.effective_changes(df, with_sha(frame(spark, [("p", "o")])), ["k"], ["i"])
+    assert tuples(got, "k", "text", "i") == [("p", "n", 1), ("p", "o", 2)]
+    assert len(seen) == 1 and "text" not in seen[0]
