@@ -15,9 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapsync.operators.ordering import with_previous
+
 from .common import (
     LAST,
     chunks,
@@ -234,10 +236,10 @@ def candidates(buckets: DataFrame) -> DataFrame:
     order of the next picks; `buckets` holds (bucket, node, n, next) and, if known, a component."""
     leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
     members = buckets.join(leaders.where("size > 1"), "bucket")
-    before = Window.partitionBy("bucket").orderBy("next", "node")
-    chained = members.withColumn("neighbour", F.lag("node").over(before))
+    # In ranges of the order, so that a large bucket is not one task.
+    chained = with_previous(members, ["bucket"], ["next", "node"], F.col("node"), "before")
     return (
-        chained.select("node", F.explode(F.array("leader", "neighbour")).alias("other"))
+        chained.select("node", F.explode(F.array("leader", "before.value")).alias("other"))
         .where("other is not null and other != node")
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         .distinct()
