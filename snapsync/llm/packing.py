@@ -27,7 +27,7 @@ SENTENCE_CUT, INNER_CUT = 2, 24
 # Places nearer than this to the last sentence cut are no cuts; longer gaps get inner cuts.
 CUT_GAP = 32
 # Tokens that one run of the dynamic programming looks at, and pieces that a worker remembers.
-BLOCK_TOKENS, REMEMBERED = 1 << 18, 500_000
+BLOCK_TOKENS, REMEMBERED = 1 << 18, 1_000_000
 # White space other than spaces and line feeds; a comma or full stop after what is no letter or digit.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _OTHER_STOP = re.compile(r"[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][.,]")
@@ -35,6 +35,17 @@ _ODD = ("  ", " \n", "\n ", "\n\n\n", "<|", "\0")
 _memory: dict = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for
+    themselves, the others in order from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class Tokens:
     """Ids of texts and where their sentences end.
 
@@ -63,6 +74,21 @@ class Tokens:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        learned, others = {}, []
+        tokenize = self.tokenizer.model.tokenize
+        for piece in pieces:
+            # A word, with or without a space before it, is one pre-token: for the model alone.
+            if piece.isalpha() or (piece[0] == " " and piece[1:].isalpha()):
+                shown = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+                ids = [t.id for t in tokenize(shown)]
+                learned[piece] = np.array(ids, np.uint32).tobytes()
+            else:
+                others.append(piece)
+        for i in range(0, len(others), 200):
+            learned |= self._learn_lines(others[i : i + 200])
+        return learned
+
+    def _learn_lines(self, pieces: list[str]) -> dict[str, bytes]:
         ids = np.array(self._ids("\n".join(pieces)), np.uint32)
         stops = np.cumsum(self.sizes[ids])
         sizes = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
@@ -75,7 +101,7 @@ class Tokens:
         """(ids, places after a sentence's last token) of each text."""
         cut = [self._pieces(t) for t in texts]
         known = self.known
-        new = list({p: None for pieces in cut if pieces for p in pieces if p not in known})
+        new = list(set().union(*(pieces for pieces in cut if pieces)).difference(known))
         if new:
             learned = self._learn(new)
             if len(known) + len(new) <= REMEMBERED:
