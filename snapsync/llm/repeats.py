@@ -110,8 +110,12 @@ def _anchor(length: int, k: int):
                 )
                 rank, row = ranks[low:high][own], rows[low:high][own]
                 order, _, new = _first_of_equal(hash_, context, rank, row, place)
-                place = place.copy()
-                place[order[~new]] |= _KNOWN << 8
+                place, hash_ = place.copy(), hash_.copy()
+                again = order[~new]
+                place[again] |= _KNOWN << 8
+                # A known repeat needs no owner: dealt out by its own place.
+                spread = row[again].astype(np.uint64) << np.uint64(20) ^ place[again].astype(np.uint64)
+                hash_[again] = mix(spread).view(np.int64)
                 columns = [hash_, context, rank, row, place]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c.astype(np.int64)) for c in columns],
@@ -131,11 +135,12 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors of one partition of hashes: known repeats, and contexts to be compared."""
     hash_, context, rank, row, place = _columns(batches, 5)
     known = (place >> 8) & _KNOWN != 0
-    by_hash = np.argsort(hash_)
+    at = np.flatnonzero(~known)
+    by_hash = at[np.argsort(hash_[at])]
     same = hash_[by_hash][1:] == hash_[by_hash][:-1]
     twice = np.zeros(len(hash_), bool)
     twice[by_hash[1:][same]] = twice[by_hash[:-1][same]] = True
-    at = np.flatnonzero(twice & ~known)
+    at = np.flatnonzero(twice)
     order, new_hash, new = _first_of_equal(hash_[at], context[at], rank[at], row[at], place[at])
     at = at[order]
     group = np.cumsum(new_hash) - 1
