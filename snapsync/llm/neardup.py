@@ -5,7 +5,11 @@ functions picks the few smallest labelled k-mers and keeps them in text order; t
 pick are candidates. Within a bucket of equal picks a text is compared with the bucket's first text
 and with its neighbour in the order of the next picks, which puts the most alike side by side; the
 texts that are not connected with the bucket's first one are then compared in the same way among
-themselves. A bucket of n texts costs up to 4 n comparisons, not n squared, whatever its size.
+themselves. These two passes cost up to 4 n comparisons in a bucket of n texts.
+
+What they leave in several components of one bucket is joined exactly: two texts that are similar
+enough share one of their rarest labelled k-mers (`overlapping`), so every pair of a bucket is
+compared, known to be connected, or ruled out by its k-mers.
 
 A comparison aligns the two k-mer sequences in a band that is as wide as the threshold allows; the
 similarity is the share of aligned k-mers among all of both.
@@ -39,6 +43,8 @@ from .components import components
 
 K, SIMILARITY = 5, 0.8
 FUNCTIONS, PICKED = 16, 3
+PIECE = 256  # texts of one k-mer that meet all others of it in one task
+TOKENS = "node long, component long, n long, token long"
 SKETCHED = "row long, id long, high long, low long, n long, picks array<long>, text string"
 _SEEDS = mix(np.arange(1, 2 * FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -246,6 +252,150 @@ def candidates(buckets: DataFrame) -> DataFrame:
     )
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        buffer, offsets = text_buffer(batch.column(2))
+        for low, high in chunks(offsets):
+            part = buffer[offsets[low] : offsets[high]]
+            folded, starts, ends, first = words_of(part, offsets[low : high + 1] - offsets[low])
+            hashes = span_hashes(prefix_hashes(folded), starts, ends)
+            kmers, rows, kfirst = kmers_of(hashes, first)
+            some, places = batch.slice(low, high - low), pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column(0).take(places),
+                    some.column(1).take(places),
+                    pa.array(np.diff(kfirst)[rows]),
+                    pa.array(labelled(kmers, rows).view(np.int64)),
+                ],
+                [c.split()[0] for c in TOKENS.split(", ")],
+            )
+
+
+def overlapping(texts: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of different components (ca, cb) that can be similar enough by their
+    labelled k-mers; `texts` holds (node, component, text).
+
+    Two texts of n and m k-mers need s (n + m) / (1 + s) in common, at least s n. In the order from
+    rare to common k-mers, the first of these is among the first n - s n + 1 of both; no more are
+    left after it than that text has. K-mers of a single component come first and need no place.
+    """
+    tokens = written(texts.select("node", "component", "text").mapInArrow(_tokens, TOKENS))
+    across = (
+        tokens.groupBy("token")
+        .agg(
+            F.count("*").alias("texts"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        .where("low != high")
+        .select("token", "texts")
+    )
+    size, need = F.size("shared"), F.ceil(F.col("n") * similarity - 1e-9).cast("int")
+    prefixes = (
+        tokens.join(across, "token")
+        .groupBy("node", "component", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("texts", "token"))).alias("shared"))
+        .where(size >= need)
+        .select(
+            "node",
+            "component",
+            "n",
+            size.alias("size"),
+            F.posexplode(F.slice("shared", F.lit(1), size - need + 1)).alias("at", "k"),
+        )
+        .select("node", "component", "n", (F.col("size") - F.col("at")).alias("left"), "k.token")
+    )
+    prefixes = written(prefixes)
+    pieces = (
+        prefixes.groupBy("token")
+        .agg(
+            F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        .where("low != high")
+        .select("token", "pieces")
+    )
+    # A common k-mer's texts are dealt out on one side and copied on the other.
+    dealt = written(prefixes.join(pieces, "token"))
+    one = dealt.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    all_ = dealt.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    enough = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    return (
+        one.alias("x")
+        .join(
+            all_.alias("y"),
+            (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.piece") == F.col("y.piece"))
+            & (F.col("x.node") < F.col("y.node"))
+            & (F.col("x.component") != F.col("y.component"))
+            & (F.least("x.left", "y.left") >= enough),
+        )
+        .select(
+            F.col("x.node").alias("a"),
+            F.col("y.node").alias("b"),
+            F.least("x.component", "y.component").alias("ca"),
+            F.greatest("x.component", "y.component").alias("cb"),
+        )
+        .distinct()
+    )
+
+
+def _ends(names: DataFrame) -> list[DataFrame]:
+    return [names.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
+
+
+def _linked(names: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after further links (a, b) between any nodes."""
+    # The graph of the links has the components so far as its nodes.
+    one, other = _ends(names)
+    ends = links.join(one, "a", "left").join(other, "b", "left")
+    joined = components(
+        ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    ).withColumnRenamed("component", "joined")
+    names = names.unionByName(
+        joined.select("node", F.col("node").alias("component")).join(names, "node", "left_anti")
+    )
+    return written(
+        names.join(joined.withColumnRenamed("node", "component"), "component", "left").select(
+            "node", F.coalesce("joined", "component").alias("component")
+        )
+    )
+
+
+def _placed(buckets: DataFrame, names: DataFrame) -> DataFrame:
+    return buckets.join(names, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+
+
+def _finished(
+    buckets: DataFrame, names: DataFrame, bodies: DataFrame, similarity: float
+) -> DataFrame:
+    """The components when all pairs of each bucket are compared, connected or ruled out."""
+    placed = _placed(buckets, names)
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    left = placed.join(mixed.where("low != high").select("bucket"), "bucket")
+    left = left.select("node", "component").distinct()
+    pairs = written(overlapping(left.join(bodies, "node"), similarity))
+    if pairs.isEmpty():
+        return names
+    # One pair of each two components first, as its link settles all the others.
+    first = pairs.groupBy("ca", "cb").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+    first = written(first)
+    names = _linked(names, verified(first, bodies, similarity))
+    one, other = _ends(names)
+    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti")
+    rest = rest.join(one, "a", "left").join(other, "b", "left")
+    rest = written(rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    if rest.isEmpty():
+        return names
+    return _linked(names, verified(rest, bodies, similarity))
+
+
 def near_duplicates(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -309,26 +459,11 @@ def _classes(rows: DataFrame, similarity: float) -> DataFrame:
     edges = written(verified(candidates(buckets), bodies, similarity))
     names = components(edges)
     # Members of another component than their bucket's first one are compared among themselves.
-    placed = buckets.join(names, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
+    placed = _placed(buckets, names)
     leaders = placed.groupBy("bucket").agg(F.min_by("component", "node").alias("leading"))
     rest = placed.join(leaders, "bucket").where("component != leading")
     more = verified(candidates(written(rest.select("bucket", "node", "next"))), bodies, similarity)
-    # The second graph has the first one's components as its nodes.
-    ends = [names.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
-    linked = more.join(ends[0], "a", "left").join(ends[1], "b", "left")
-    joined = components(
-        linked.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    ).withColumnRenamed("component", "joined")
-    names = names.unionByName(
-        joined.select("node", F.col("node").alias("component")).join(names, "node", "left_anti")
-    )
-    names = written(
-        names.join(joined.withColumnRenamed("node", "component"), "component", "left").select(
-            "node", F.coalesce("joined", "component").alias("component")
-        )
-    )
+    names = _finished(buckets, _linked(names, more), bodies, similarity)
 
     named = copies.join(names, "node", "left").withColumn(
         "component", F.coalesce("component", "node")

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -103,6 +104,58 @@ def test_hot_group_chain_and_common_passage(documents):
     assert all(rows[i].group_size == 1 for i in range(132, 192))
 
 
+def families(seed, n, variants):
+    """Families of texts with one template; variants of a text are about 0.8 alike or just below."""
+    rng = random.Random(seed)
+    template, texts = [f"t{i}" for i in range(84)], []
+    for f in range(n):
+        own = [f"f{f}x{i}" for i in range(16)]
+        for v in range(variants):
+            copy = template[:42] + own + template[42:]
+            for e in range(rng.choice([1, 2])):
+                copy[rng.randrange(len(copy))] = f"e{f}x{v}x{e}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return texts
+
+
+def can_be_alike(a, b):
+    n = sum((Counter(a) & Counter(b)).values())
+    return n >= 0.8 * (len(a) + len(b) - n) - 1e-9
+
+
+@pytest.mark.parametrize("seed, n, variants", [(2, 150, 3), (3, 250, 2)])
+def test_families_with_one_template(documents, seed, n, variants):
+    texts = families(seed, n, variants)
+    seqs = [kmers(t) for t in texts]
+    links = [
+        (a, b)
+        for b in range(len(texts))
+        for a in range(b)
+        if can_be_alike(seqs[a], seqs[b]) and alike(seqs[a], seqs[b])
+    ]
+    found = {r.id: r.class_id for r in neardup.near_duplicates(documents(texts)).collect()}
+    assert [(a, b) for a, b in links if found[a] != found[b]] == []
+    parts = {i: i for i in range(len(texts))}
+    for a, b in links:
+        low, high = sorted((parts[a], parts[b]))
+        parts = {i: low if p == high else p for i, p in parts.items()}
+    assert found == parts
+
+
+def test_pairs_of_a_common_kmer_in_pieces(documents, spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PIECE", 7)
+    texts = families(1, 20, 3)
+    seqs = [kmers(t) for t in texts]
+    documents([])
+    rows = [(i, i, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "node long, component long, text string")
+    found = [(r.a, r.b) for r in neardup.overlapping(frame, 0.8).collect()]
+    assert len(found) == len(set(found))
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if can_be_alike(seqs[a], seqs[b])}
+    assert want and want <= set(found)
+
+
 def test_alignment_equals_plain_one():
     rng = random.Random(9)
     for _ in range(400):
