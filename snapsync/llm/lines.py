@@ -1,11 +1,11 @@
-"""Line dedup: repeated runs of lines, found in a suffix array over sequences of line ids.
+"""Line dedup: repeated runs of lines, found by ranks over sequences of line ids.
 
 Lines that occur once cut the documents into segments of repeated lines; equal segments become one.
-Prefix doubling then ranks the suffixes of the segments: each round sorts the distinct pairs of (rank
-of the first k lines, rank of the next k) in Spark and numbers them in order, until the ranks reach
-as far as the shortest run that counts. Suffixes that agree that far, and that do not all follow the
-same line (else the run one line longer covers them), are put in order to their ends, and the
-intervals of their common prefixes are the maximal repeated runs. All but the first copy go.
+A run that counts is covered by its shortest parts that count: from each of its lines on, or from its
+first line, and up to its last one (of two lines at least, so that neighbours share a part). So only
+these windows are compared, forward and backward from each place. Prefix doubling ranks the places of the segments: each round sorts the distinct pairs of
+(rank of the first k lines, rank of the next k) in Spark and numbers them in order, until the ranks
+reach as far as the longest window. Two ranks name a window, and all but its first copy go.
 """
 
 from collections.abc import Iterator
@@ -17,40 +17,44 @@ from pyspark.sql import functions as F
 
 from .common import (
     LAST,
+    SALTS,
     extended,
     id_and_text,
-    partitions,
     restored,
     salted_left_join,
     written,
 )
-from .repeats import intervals, merged
+from .repeats import merged
 
 MIN_WORDS = 50
 BLANK = " \t\r\x0b\x0c"
-PLACES = "seg long, place long, high long, low long, need long"
-SPANS = "row long, start long, stop long"
+PLACES = "seg long, place long, at long, high long, low long, need long, back long"
 LEFT = "row long, id long, text string, n_lines long, n_removed long"
 
 
 def _places(min_words: int):
-    """Places of a segment from which a run can reach enough words, and how many lines it needs; the
-    other places have no need but still carry their line."""
+    """Places of a segment, and how many lines from each on (`need`) and up to each (`back`) have
+    enough words; 0 where the segment has too few."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for segment in batch.to_pylist():
                 lines = segment["lines"]
+                places = np.arange(len(lines))
                 words = np.cumsum([0] + [line["words"] for line in lines])
                 stop = np.searchsorted(words, words[:-1] + min_words, "left")
-                need = np.where(stop < len(words), stop - np.arange(len(lines)), 0)
+                need = np.where(stop < len(words), stop - places, 0)
+                start = np.searchsorted(words, words[1:] - min_words, "right") - 1
+                back = np.where(start >= 0, places + 1 - start, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([segment["seg"]] * len(lines), pa.int64()),
-                        pa.array(np.arange(len(lines))),
+                        pa.array(places),
+                        pa.array([line["at"] for line in lines], pa.int64()),
                         pa.array([line["high"] for line in lines], pa.int64()),
                         pa.array([line["low"] for line in lines], pa.int64()),
                         pa.array(need),
+                        pa.array(back),
                     ],
                     [c.split()[0] for c in PLACES.split(", ")],
                 )
@@ -84,43 +88,6 @@ def doubled(places: DataFrame, depth: int) -> tuple[DataFrame, int]:
     return ranked, levels
 
 
-def common_lines(a: list, b: list) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Intervals of common prefixes of each group's suffixes; spans of all copies but the first."""
-    groups: dict[int, list] = {}
-    for batch in batches:
-        for r in batch.to_pylist():
-            groups.setdefault(r["rank"], []).append(r)
-    out = []
-    for members in groups.values():
-        members.sort(key=lambda r: r["suffix"])
-        tails = [r["suffix"] for r in members]
-        lcps = [0] + [common_lines(a, b) for a, b in zip(tails, tails[1:])]
-        order = [(r["id_order"], r["row"], r["at"][0]) for r in members]
-        best = [0] * len(members)
-        for size, first, last in intervals(lcps, members[0]["need"]):
-            if len({members[i]["before"] for i in range(first, last + 1)}) > 1:
-                least = min(range(first, last + 1), key=order.__getitem__)
-                for i in range(first, last + 1):
-                    if i != least:
-                        best[i] = max(best[i], size)
-        for r, size in zip(members, best):
-            if size:
-                out.append((r["row"], r["at"][0], r["at"][size - 1] + 1))
-    columns = list(zip(*out)) or [()] * 3
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()) for c in columns], ["row", "start", "stop"]
-    )
-
-
 def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts, gone = [], [], []
@@ -263,21 +230,9 @@ def _spans(rows: DataFrame, min_words: int) -> DataFrame:
     )
 
     places = written(distinct.select("seg", "lines").mapInArrow(_places(min_words), PLACES))
-    ranked, levels = doubled(places, min_words)
-    groups = written(_groups(ranked, levels))
-    suffix = F.expr("slice(lines, place + 1, size(lines))")
-    members = (
-        groups.join(distinct, "seg")
-        .select(
-            "rank", "need", "before", "row", "id_order", suffix.alias("rest"),
-        )
-        .select(
-            "rank", "need", "before", "row", "id_order",
-            F.col("rest.at").alias("at"),
-            F.transform("rest", lambda s: F.concat_ws(":", s["high"], s["low"])).alias("suffix"),
-        )
-    )
-    found = members.repartition(partitions(spark), "rank").mapInArrow(_scan, SPANS)
+    ranked, levels = doubled(places, max(min_words, 2))
+    owners = distinct.select("seg", "row", "id_order")
+    found = _again(written(_windows(ranked, levels).join(owners, "seg")))
     return (
         copies.unionByName(found)
         .groupBy("row")
@@ -285,35 +240,51 @@ def _spans(rows: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def _groups(ranked: DataFrame, levels: int) -> DataFrame:
-    """Places whose shortest run that counts occurs again, numbered by that run (`rank`), where the
-    lines before its occurrences differ; a segment's start differs from all others.
+def _windows(ranked: DataFrame, levels: int) -> DataFrame:
+    """The windows of each segment (first and last line's `at`) with their names.
 
-    The run of `need` lines is named by the ranks of the first and the last 2^l lines of it, where
-    2^l is at most `need`: equal names, equal runs.
+    A window of `size` lines is named by the ranks of the first and the last 2^l lines of it, where
+    2^l is at most `size`: equal names, equal windows.
     """
-    along = Window.partitionBy("seg").orderBy("place")
-    before = F.coalesce(F.lag("r0").over(along), -1 - F.col("seg"))
-    level = F.floor(F.log2("need")).cast("int")
-    ranks = F.array(*[F.col(f"r{i}") for i in range(levels)])
-    with_before = ranked.select("seg", "place", "need", before.alias("before"), ranks.alias("ranks"))
-    heads = with_before.where("need > 0").select(
-        "seg",
-        "place",
-        "need",
-        "before",
-        level.alias("level"),
-        F.get("ranks", level).alias("head"),
-        (F.col("place") + F.col("need") - F.pow(F.lit(2), level).cast("long")).alias("tail_place"),
+    ranks = ranked.select(
+        "seg", "place", "at", F.array(*[F.col(f"r{i}") for i in range(levels)]).alias("ranks")
     )
-    tails = with_before.select(F.col("seg"), F.col("place").alias("tail_place"), "ranks")
+    forward = ranked.where("need > 0").select("seg", "place", F.col("need").alias("size"))
+    backward = ranked.where("back > 0").select(
+        "seg", (F.col("place") - F.col("back") + 1).alias("place"), F.col("back").alias("size")
+    )
+    level = F.floor(F.log2("size")).cast("int")
+    # A line that counts alone also counts with its neighbours: lines without words between them go.
+    after = forward.where("size = 1").select("seg", "place", F.lit(2).cast("long").alias("size"))
+    to_it = after.where("place > 0").withColumn("place", F.col("place") - 1)
+    sized = forward.unionByName(backward).unionByName(after).unionByName(to_it).distinct()
+    sized = sized.withColumn("level", level)
+    heads = sized.join(ranks, ["seg", "place"]).select(
+        "seg",
+        "size",
+        "level",
+        F.col("at").alias("start"),
+        F.get("ranks", "level").alias("head"),
+        (F.col("place") + F.col("size") - 1).alias("last"),
+        (F.col("place") + F.col("size") - F.pow(F.lit(2), F.col("level")).cast("long")).alias("tail_place"),
+    )
+    tails = ranks.select("seg", F.col("place").alias("tail_place"), "ranks")
+    lasts = ranks.select("seg", F.col("place").alias("last"), (F.col("at") + 1).alias("stop"))
     named = heads.join(tails, ["seg", "tail_place"]).withColumn("tail", F.get("ranks", "level"))
-    named = named.select("seg", "place", "need", "before", "head", "tail")
-    key = ["need", "head", "tail"]
-    open_ = (
-        named.groupBy(*key)
-        .agg(F.count("*").alias("n"), F.min("before").alias("low"), F.max("before").alias("high"))
-        .where("n > 1 and low != high")
-        .select(*key, F.monotonically_increasing_id().alias("rank"))
+    return named.join(lasts, ["seg", "last"]).select("seg", "size", "head", "tail", "start", "stop")
+
+
+def _again(windows: DataFrame) -> DataFrame:
+    """`row`, `start` and `stop` of all windows that also stand earlier."""
+    key = ["size", "head", "tail"]
+    firsts = (
+        windows.groupBy(*key)
+        .agg(F.count("*").alias("n"), F.min(F.struct("id_order", "row", "start")).alias("first"))
+        .where("n > 1")
+        .select(*key, "first.row", "first.start")
+        .withColumnsRenamed({"row": "first_row", "start": "first_start"})
     )
-    return named.join(written(open_), key).select("rank", "seg", "place", "need", "before")
+    dealt = windows.withColumn("salt", F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int"))
+    copied = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    again = (F.col("row") != F.col("first_row")) | (F.col("start") != F.col("first_start"))
+    return dealt.join(copied, [*key, "salt"]).where(again).select("row", "start", "stop")

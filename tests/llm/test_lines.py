@@ -82,3 +82,19 @@ def test_hot_line_long_text_and_repeated_rows(documents):
     rows = lines.repeated_lines(documents(twice)).collect()
     assert sorted((r.id or 0, r.text == "") for r in rows) == [(0, False), (0, True), (4, False), (4, True)]
     assert lines.repeated_lines(documents([])).count() == 0
+
+
+def test_one_line_many_times(documents):
+    # Suffixes of these as texts would be 3,200 million entries; each line but the first copies goes.
+    n = 80_000
+    texts = ["x\n" * n, "head of its own\n" + "\n".join(["x"] * 60) + "\n|\n" + "|\n" * 100]
+    rows = {r.id: r for r in lines.repeated_lines(documents(texts)).collect()}
+    assert (rows[0].text, rows[0].n_lines, rows[0].n_removed) == ("x\n", n + 1, n - 1)
+    assert (rows[1].text, rows[1].n_removed) == ("head of its own\n|\n", 160)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_few_short_lines(documents, seed):
+    rng = random.Random(seed)
+    texts = ["\n".join(rng.choices(["x", "x", "x y", "a b c d e f"], k=rng.randrange(60))) for _ in range(40)]
+    check(lines.repeated_lines(documents(texts), min_words=9), texts, 9)
