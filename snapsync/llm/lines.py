@@ -28,6 +28,8 @@ from .repeats import merged
 
 MIN_WORDS = 50
 BLANK = " \t\r\x0b\x0c"
+# Between white space of any kind, no-break spaces among them.
+WORD = r"(?U)\S+"
 PLACES = "seg long, place long, at long, high long, low long, need long, back long"
 LEFT = "row long, id long, text string, n_lines long, n_removed long"
 
@@ -119,7 +121,8 @@ def repeated_lines(
 ) -> DataFrame:
     """One row per document: `row`, `id`, `text` (what is left), `n_lines` and `n_removed`.
 
-    A run of lines with at least `min_words` words (split at spaces) that also stands earlier goes:
+    A run of lines with at least `min_words` words (parted by white space of any kind; a line has at
+    least one) that also stands earlier goes:
     in a smaller id, the same id in a smaller row, or further up. Lines are equal if they are after
     white space at their ends is cut off; lines without words neither part nor lengthen a run and go
     if they stand inside one. Null ids come last, null texts count as empty. An empty table gives no
@@ -182,7 +185,7 @@ def _spans(rows: DataFrame, min_words: int) -> DataFrame:
             F.col("s.at").alias("at"),
             F.xxhash64(F.lit(1), line).alias("high"),
             F.xxhash64(F.lit(2), line).alias("low"),
-            (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("words"),
+            F.greatest(F.regexp_count(line, F.lit(WORD)), F.lit(1)).alias("words"),
         )
     )
     twice = lines.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1")

@@ -98,3 +98,12 @@ def test_few_short_lines(documents, seed):
     rng = random.Random(seed)
     texts = ["\n".join(rng.choices(["x", "x", "x y", "a b c d e f"], k=rng.randrange(60))) for _ in range(40)]
     check(lines.repeated_lines(documents(texts), min_words=9), texts, 9)
+
+
+@pytest.mark.parametrize("between, words, goes", [
+    ("\t", 60, True), ("\u00a0", 60, True), ("\u3000", 60, True), ("  ", 30, False), (" \t ", 60, True),
+])
+def test_words_between_any_white_space(documents, between, words, goes):
+    passage = between.join(f"c{i}" for i in range(words))
+    rows = lines.repeated_lines(documents([f"a\n{passage}", f"b\n{passage}"])).collect()
+    assert {r.id: r.n_removed for r in rows} == {0: 0, 1: int(goes)}
