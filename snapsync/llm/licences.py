@@ -46,7 +46,8 @@ NOTICES = {
     "all rights reserved": ("proprietary", 0.6),
 }
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(rb"spdx-license-identifier\s*:\s*([^\r\n*]{1,400})", re.IGNORECASE)
+TAG_TEXT = re.compile(rb"spdx-license-identifier\s*:\s*([^\r\n*]+)", re.IGNORECASE)
+NEXT_TAG = re.compile(rb"spdx-license-identifier\s*:", re.IGNORECASE)
 TERM = re.compile(rb"[()]|[A-Za-z0-9.+:-]+")
 STRENGTH = {b"or": 1, b"and": 2, b"with": 3}
 RESULT = (
@@ -144,8 +145,10 @@ class Scanner:
                 labels.add(label)
                 score = max(score, strength)
         if tagged:
-            for match in TAG_TEXT.finditer(raw):
-                if parsed := parse_expression(match[1]):
+            # A tag's text goes to the end of its line, or to the next tag there.
+            found = [t for m in TAG_TEXT.finditer(raw) for t in NEXT_TAG.split(m[1])]
+            for text in found:
+                if parsed := parse_expression(text):
                     expressions.append(parsed[0])
                     labels.update(parsed[1])
                     score = max(score, chance(parsed[0], self.known))

@@ -48,3 +48,13 @@ def test_tags_and_empty_table(documents):
     assert rows[9].labels == ["gpl-2.0"]
     assert rows[10].labels == []
     assert licences.scan_licences(documents([])).count() == 0
+
+
+def test_long_tags_and_two_on_a_line(documents):
+    ids = [f"LicenseRef-{i}-of-a-long-expression" for i in range(300)]
+    tag = "SPDX-License-Identifier: "
+    texts = [f"{tag}({' OR '.join(ids)}) AND MIT\ncode", f"{tag}MIT {'prose ' * 100}{tag}ISC and so on", f"{tag}MIT {tag}ISC"]
+    rows = {r.id: r for r in licences.scan_licences(documents(texts)).collect()}
+    assert rows[0].labels == sorted(["mit", *(i.lower() for i in ids)])
+    assert len(rows[0].expressions) == 1 and rows[0].expressions[0].endswith("MIT and")
+    assert rows[2].labels == ["isc", "mit"] and rows[2].expressions == ["MIT", "ISC"]
