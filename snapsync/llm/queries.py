@@ -1,9 +1,12 @@
 """The registered queries of the corpus operators: thin digests of what the operators return."""
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import contamination, exact, licences, lines, neardup, packing, pii, quality, repeats, urls
+from . import contamination, exact, licences, lines, neardup, packing, pii, quality, repeats, runs
+from . import urls
 from .common import table
 
 QUERIES = {}
@@ -150,3 +153,47 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path)
+
+
+def looped(doc_id, words):
+    """The damage that the query does to a tenth of the documents: from some word on they go round."""
+    if doc_id is None or not words:
+        return words
+    group, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if rest:
+        return words
+    first = group % len(words)
+    period = 1 + (len(words) - first) // (3 + group % 8)
+    rounds = -(-(len(words) - first) // period)
+    return (words[:first] + words[first : first + period] * rounds)[: len(words)]
+
+
+def run_digest(docs):
+    """Digests of the runs of a table of documents, after the damage."""
+    found = runs.periodic_runs(docs, rewrite=looped)
+    run = F.col("runs")
+
+    def stronger(best, other):
+        """Exponents as fractions; the runs are in order, so that the first of equal ones stays."""
+        more = other["length"] * best["period"] > best["length"] * other["period"]
+        return F.when(best.isNull() | more, other).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    lines = F.transform(
+        run, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", F.aggregate(run, none, stronger)).select(
+        F.col("id").alias("doc_id"),
+        F.size(run).cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return run_digest(table(spark, sf_dir, "documents"))
