@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import contamination, exact, licences, lines, neardup, packing, pii, quality, repeats, runs
-from . import urls
+from . import urls, warc
 from .common import table
 
 QUERIES = {}
@@ -197,3 +197,12 @@ def run_digest(docs):
 @query("op13_periodic_runs")
 def op13(spark, sf_dir):
     return run_digest(table(spark, sf_dir, "documents"))
+
+
+def record_digest(pages):
+    return warc.page_records(pages).withColumnRenamed("id", "page_id")
+
+
+@query("op12_warc")
+def op12(spark, sf_dir):
+    return record_digest(table(spark, sf_dir, "pages"))
