@@ -5,8 +5,8 @@ import zlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import contamination, exact, licences, lines, neardup, packing, pii, quality, repeats, runs
-from . import urls, warc
+from . import contamination, conversations, exact, licences, lines, neardup, packing, pii, quality
+from . import repeats, runs, urls, warc
 from .common import table
 
 QUERIES = {}
@@ -206,3 +206,46 @@ def record_digest(pages):
 @query("op12_warc")
 def op12(spark, sf_dir):
     return record_digest(table(spark, sf_dir, "pages"))
+
+
+def damaged(conversations):
+    """The damage that the query does to the rows of conversations, by a hash of their key."""
+    conv_id, turn, text = (
+        F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "text")
+    )
+    kind = F.crc32(F.concat(conv_id, F.lit(":"), turn)) % 20
+    changed = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(text, "[.!?]", ""))
+    times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        changed.otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("_"),
+    ).drop("_")
+
+
+def repair_digest(conversations_table, **sizes):
+    """One row per conversation of the undamaged table."""
+    found = conversations.repair_conversations(damaged(conversations_table), **sizes)
+    every = conversations_table.select("conv_id").distinct()
+    every = every.withColumn("conv", conversations.key_of("conv_id"))
+    both = every.join(found.reports, "conv", "left").join(found.text_hashes(), "conv", "left")
+
+    def count(name):
+        return F.coalesce(F.col(name), F.lit(0)).cast("long")
+
+    return both.select(
+        "conv_id",
+        count("gaps").alias("gaps"),
+        *[count(f"n_{fault}").alias(fault) for fault in ("blank", "duplicate", "truncated")],
+        count("illegal").alias("illegal"),
+        count("cost").alias("cost"),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    return repair_digest(table(spark, sf_dir, "conversations"))

@@ -148,7 +148,7 @@ def write_pages(
 
 def field(head: Column, name: str, value: str = r"[^\r\n]*?") -> Column:
     """A header's value; null where there is none."""
-    pattern = rf"(?i)\r\n{name}:[ \t]*({value})[ \t]*(?=\r\n|$)"
+    pattern = rf"(?i)\r\n{name}:[ \t]*({value})[ \t]*(?=\r\n|\z)"
     return F.nullif(F.regexp_extract(head, pattern, 1), F.lit(""))
 
 
@@ -163,7 +163,7 @@ def cuts(spark: SparkSession, folder: str, payload: bool) -> DataFrame:
     ended = F.substring_index("value", BLANK_LINE, 1)
     length = field(F.col("head"), "Content-Length", "[0-9]{1,18}").cast("long")
     is_header = (
-        F.col("head").rlike(r"^[0-9]\r\n")
+        F.col("head").rlike(r"\A[0-9]\r\n")
         & (size_of("head") < F.col("n"))
         & field(F.col("head"), "WARC-Type").isNotNull()
     )

@@ -67,7 +67,7 @@ ODD = [
 
 def odd_rows():
     rows = [(i, f"http://h/{i}", t) for i, t in enumerate(ODD)]
-    rows += [(None, "http://h/\r\nWARC/1.0", "n" * 1200), (50, None, "n" * 1200), (50, None, "n" * 1200)]
+    rows += [(None, "http://h/\r\nWARC/1.0", "n" * 1200), (50, "http://h/\u0085", "n" * 1200), (50, None, "n" * 1200)]
     rows += [(None, None, "m" * 1200), (None, None, "m" * 1200), (-7, "u", "o" * 1000), (-9, "u", "o" * 1000)]
     return rows + [(1000 + i, "same", "hot " * 400) for i in range(200)]
 
