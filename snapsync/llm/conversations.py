@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import written
+from .common import partitions, written
 
 # Costs of the edits.
 DELETE, INSERT, REROLE, TRUNCATED = 4, 3, 3, 3
@@ -401,8 +401,11 @@ def searched(blocks: DataFrame) -> DataFrame:
             ],
         }
 
+    # The search takes longer than the few bytes of a block suggest: a fixed number of partitions, as
+    # adaptive execution would join small ones.
+    dealt = blocks.repartition(partitions(blocks.sparkSession), F.xxhash64("conv", "block"))
     paths = PATHS.replace("rank:int", "rank:int,letters:string")
-    return mapped(blocks, search, f"conv string, block long, illegal long, paths {paths}")
+    return mapped(dealt, search, f"conv string, block long, illegal long, paths {paths}")
 
 
 @dataclass(frozen=True)
