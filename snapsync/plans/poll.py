@@ -19,7 +19,7 @@ from snapsync.operators.joins import flagged, join_null_safe, known_size
 from snapsync.operators.ordering import latest_row
 from snapsync.operators.sizing import written
 from snapsync.plans.changes import changes_all, changes_or_folder
-from snapsync.plans.store import Store, epoch_snapshot
+from snapsync.plans.store import TABLES, Conflict, Store, epoch_snapshot
 from snapsync.settings import Settings
 from snapsync.sources.catalog import Tables, catalog_objects
 
@@ -107,56 +107,82 @@ def capture(
     Rows that equal the snapshot vanish, so a feed that comes twice changes nothing. `listing` has
     (source_db, type, class_id, short_name) of everything that some sources hold: stored files of
     these sources whose object is not listed become removed versions.
+
+    Where another poll of a source was committed meanwhile, the feed of this source is compared and
+    written again; after `commit_tries` such losses Conflict is raised. A mark never moves back.
     """
     spark = rows.sparkSession
+    # Fixed before anything is written: the state of a source must not move while it is used.
     states = known_size(states)
-    poll_no = store.next_poll_no(spark)
+    for _ in range(settings.commit_tries):
+        poll, won = _capture_once(rows, states, store, label, settings, how, listing)
+        lost = [r.source_db for r in states.select("source_db").collect() if r.source_db not in won]
+        if not lost:
+            store.upkeep(spark, settings)
+            return poll
+        kept = spark.createDataFrame([(source,) for source in lost], "source_db string")
+        states, rows = (join_null_safe(df, kept, ["source_db"], "left_semi") for df in (states, rows))
+        states = known_size(states)
+        if listing is not None:
+            listing = join_null_safe(listing, kept, ["source_db"], "left_semi")
+    raise Conflict(f"sources {lost}: another poll was committed {settings.commit_tries} times")
+
+
+def _capture_once(rows, states, store, label, settings, how, listing) -> tuple[str, list]:
+    """The poll's name and the sources for which it was committed."""
+    spark = rows.sparkSession
+    known = store.state(spark)
+    poll_no = store.next_poll_no(spark, known)
     # A new name for every attempt: what a failed attempt wrote is never named by control.
     poll = f"{label}.{uuid.uuid4().hex}"
-    stored = epoch_snapshot(store.current(spark), states, settings)
+    stored = epoch_snapshot(store.current_rows(spark, known), states, settings)
     feed = rows.withColumn("path", feed_path())
     changed = changed_vs_baseline(newest_per_path(feed), stored.select(*PATH, "text_sha"), PATH)
     new = changed.select(
         *("source_db", "type", "class_id", "short_name", "path", "modified", "user_modified"),
         "text",
         text_sha(F.col("text")).alias("text_sha"),
-        F.lit(False).alias("removed"),
     )
-    if listing is not None:
-        new = new.unionByName(_removed(stored, listing, states))
-    store.append_versions(new.join(states.select("source_db", "epoch"), "source_db"), poll)
-    # The change sets are built from what was written, without its texts.
-    found = store.poll_versions(spark, poll).where("not removed").select(
-        *("source_db", "epoch", "type", "class_id", "short_name", "path"),
-        *("modified", "user_modified"),
-    )
-    islands = author_islands(
-        found,
+    # Written once: texts, versions and change sets all come from the changed rows.
+    new = written(new.join(states.select("source_db", "epoch"), "source_db"), "changed")
+    old_texts = written(store.known_texts(spark, new, known), "known")
+    brought = new.where("text_sha is not null").select("text_sha", "text")
+    fresh = brought.join(old_texts, "text_sha", "left_anti").dropDuplicates(["text_sha"])
+    store.append("texts", fresh, poll)
+    versions = author_islands(
+        new.drop("text").withColumn("removed", F.lit(False)),
         groups=("source_db", "epoch"),
         order=[F.asc_nulls_last("modified"), "type", "class_id", "short_name", "path"],
         how=how,
     )
+    if listing is not None:
+        gone = _removed(stored, listing, states).join(states.select("source_db", "epoch"), "source_db")
+        versions = versions.unionByName(gone)
+    text_poll = F.when(F.col("text_sha").isNotNull(), F.coalesce("text_poll", F.lit(poll)))
+    versions = versions.join(old_texts, "text_sha", "left").withColumn("text_poll", text_poll)
+    store.append("versions", versions, poll)
+    # The change sets are built from what was written: runs of one author are numbered there.
+    islands = store.poll_versions(spark, poll).where("not removed")
     shift = clock_shift(F.col("local_time"), F.col("as_of"))
     with_shift = islands.join(states.select("source_db", shift.alias("_shift")), "source_db")
     groups = ("source_db", "epoch", "changeset_id", "_shift")
-    store.append_changesets(changesets(with_shift, groups, F.col("_shift"), settings), poll)
+    store.append("changesets", changesets(with_shift, groups, F.col("_shift"), settings), poll)
     messages = changeset_messages(islands, ("source_db", "epoch", "changeset_id"), settings, how)
-    store.append_messages(messages, poll)
-    store.append_control(
-        states.select(
-            "source_db",
-            "epoch",
-            F.lit(poll_no).cast("bigint").alias("poll_no"),
-            F.col("as_of").alias("high_water"),
-            F.col("local_time").alias("updated_at"),
-        ),
-        poll,
+    store.append("messages", messages, poll)
+    before = store.last_control(spark, settings, known).select("source_db", "high_water")
+    control = join_null_safe(states, before, ["source_db"], "left").select(
+        "source_db",
+        "epoch",
+        F.lit(poll_no).cast("bigint").alias("poll_no"),
+        F.greatest("as_of", "high_water").alias("high_water"),
+        F.col("local_time").alias("updated_at"),
     )
-    return poll
+    return poll, store.commit(control, poll, known, settings)
 
 
 def _removed(stored: DataFrame, listing: DataFrame, states: DataFrame) -> DataFrame:
-    """Stored files of the listed sources whose object the listing lacks, as removed versions."""
+    """Stored files of the listed sources whose object the listing lacks, as removed versions. They
+    belong to no change set."""
     objects = listing.select("source_db", *schemas.KEY)
     sources = known_size(objects.select("source_db").distinct())
     own = stored.join(sources, "source_db", "left_semi")
@@ -165,42 +191,47 @@ def _removed(stored: DataFrame, listing: DataFrame, states: DataFrame) -> DataFr
         *("source_db", "type", "class_id", "short_name", "path"),
         F.col("as_of").alias("modified"),
         F.lit(None).cast("string").alias("user_modified"),
-        F.lit(None).cast("string").alias("text"),
         F.lit(None).cast("string").alias("text_sha"),
         F.lit(True).alias("removed"),
+        F.lit(None).cast("bigint").alias("changeset_id"),
     )
 
 
 def merge_into_base(spark: SparkSession, store: Store, settings=Settings()) -> str:
     """Bring the base epoch up to each source's present epoch: files that differ become versions of
-    the base, files that the epoch lost are removed there. A new epoch then starts from them."""
-    control = known_size(store.last_control(spark, settings))
-    versions = store.current(spark)
+    the base, files that the epoch lost are removed there. A new epoch then starts from them. Texts
+    stay where they are. A source that was merged by someone else meanwhile keeps that merge."""
+    state = store.state(spark)
+    control = known_size(store.last_control(spark, settings, state))
+    versions = store.current_rows(spark, state)
     base = control.select("source_db", F.lit(settings.base_epoch).alias("epoch"))
     own = epoch_snapshot(versions, control.select("source_db", "epoch"), settings)
     known = epoch_snapshot(versions, base, settings)
-    poll_no = store.next_poll_no(spark)
     poll = f"base.{uuid.uuid4().hex}"
     columns = [c for c in schemas.OBJECT_VERSIONS.fieldNames() if c not in ("epoch", "poll")]
     changed = join_null_safe(own, known.select(*PATH, "text_sha"), [*PATH, "text_sha"], "left_anti")
+    no_text = F.lit(None).cast("string")
     gone = known.join(own.select(*PATH), list(PATH), "left_anti").withColumns(
-        {
-            "removed": F.lit(True),
-            "text": F.lit(None).cast("string"),
-            "text_sha": F.lit(None).cast("string"),
-        }
+        {"removed": F.lit(True), "text_sha": no_text, "text_poll": no_text}
+    )
+    rows = changed.select(*columns).unionByName(gone.select(*columns)).withColumns(
+        # Change sets are numbered per poll and epoch; a merge has none.
+        {"epoch": F.lit(settings.base_epoch), "changeset_id": F.lit(None).cast("bigint")}
     )
-    rows = changed.select(*columns).unionByName(gone.select(*columns))
-    store.append_versions(rows.withColumn("epoch", F.lit(settings.base_epoch)), poll)
-    store.append_control(
+    store.append("versions", rows, poll)
+    for name in ("texts", "changesets", "messages"):
+        store.append(name, spark.createDataFrame([], TABLES[name]), poll)
+    store.commit(
         control.select(
             "source_db",
             F.lit(settings.base_epoch).alias("epoch"),
-            F.lit(poll_no).cast("bigint").alias("poll_no"),
+            F.lit(store.next_poll_no(spark, state)).cast("bigint").alias("poll_no"),
             "high_water",
             "updated_at",
         ),
         poll,
+        state,
+        settings,
     )
     return poll
 

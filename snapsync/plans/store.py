@@ -1,33 +1,84 @@
-"""Tables that a poll reads and writes: object versions, change sets, their messages, control.
+"""Tables that a poll reads and writes: object versions, their texts, change sets, messages, control.
 
-Each poll writes to folders of its own, so that polls that run at the same time share nothing, and
-its control rows last. A poll counts once they are there: what a failed attempt wrote is in a folder
-that no control row names, and is never read.
+Each poll writes to folders of its own, so that polls that run at the same time share nothing. A source's
+poll counts once its control row is there. That row is a folder that is moved to the name "after the
+source's last poll" in one step, which succeeds once: of two polls that started from the same state one is
+committed and the other has to look again. What is not named by a control row is never read.
 
-`fold` writes the newest version of each path once more, in one piece. Snapshots read the last fold
-and the folders of the polls since; the versions themselves stay as history.
+A text is stored once, by its hash, in the folder of the poll that first brought it; versions name the
+hash and that poll. No epoch and no merge copies texts.
+
+`fold` puts together what the polls since the last fold wrote, in a folder of its own: versions with the
+polls between which they were valid, and the other tables as they are. Readers take the folds and the
+folders of the polls since then. `sweep` removes folders that no reader needs.
 """
 
+import re
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapsync import schemas
 from snapsync.operators.joins import known_size
 from snapsync.operators.ordering import latest_row
+from snapsync.plans import history
 from snapsync.settings import Settings
+from snapsync.sources import folders
 
-NUMBERED_VERSIONS = T.StructType([*schemas.OBJECT_VERSIONS.fields, T.StructField("poll_no", T.LongType())])
-FOLDED = T.StructType(
-    [T.StructField(c, k) for c, k in (("fold", T.StringType()), ("fold_no", T.LongType()), ("poll", T.StringType()))]
-)
+POLL_NO = T.StructField("poll_no", T.LongType())
+ENDS = [T.StructField(c, T.LongType()) for c in ("valid_from", "from_set", "valid_to", "to_set")]
 TABLES = {
     "versions": schemas.OBJECT_VERSIONS,
+    "texts": schemas.TEXTS,
     "changesets": schemas.CHANGESETS,
     "messages": schemas.MESSAGES,
+}
+# What folds hold: control rows have their number anyway, texts belong to no source.
+FOLDED = {
+    "versions": T.StructType([*schemas.OBJECT_VERSIONS.fields, POLL_NO, *ENDS]),
+    "texts": schemas.TEXTS,
+    "changesets": T.StructType([*schemas.CHANGESETS.fields, POLL_NO]),
+    "messages": T.StructType([*schemas.MESSAGES.fields, POLL_NO]),
     "control": schemas.CONTROL,
 }
+PAIR = ["poll", "source_db"]
+
+
+def chain_name(source_db: str | None, of_base: bool) -> str:
+    """Folder of a source's control rows; commits to the base epoch follow each other on their own."""
+    kind = "base" if of_base else "source"
+    if source_db is None:
+        return f"{kind}-_null_"
+    return f"{kind}-" + re.sub(r"[^A-Za-z0-9-]", lambda m: f"_{ord(m[0]):x}_", source_db)
+
+
+@dataclass(frozen=True)
+class State:
+    """What is committed: the folds, and control rows (folded or not) as a local table."""
+
+    folds: list[str]
+    fold_no: int
+    control: DataFrame
+    # Control rows since the last fold, one per poll and source.
+    pairs: list[tuple] = field(default_factory=list)
+    # Polls of which a fold holds some source; their texts are there.
+    folded_polls: frozenset = frozenset()
+
+    @property
+    def polls(self) -> list[str]:
+        """Polls since the last fold."""
+        return sorted({poll for poll, *_ in self.pairs})
+
+    @property
+    def last_fold(self) -> str | None:
+        return self.folds[-1] if self.folds else None
+
+
+class Conflict(Exception):
+    """Other polls of the same sources were committed each time."""
 
 
 @dataclass(frozen=True)
@@ -35,110 +86,261 @@ class Store:
     root: str
 
     def create(self, spark: SparkSession) -> "Store":
-        for name, schema in [*TABLES.items(), ("folded", FOLDED)]:
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{name}")
+        """Make what a reader of an empty store needs."""
+        for name, schema in (("control", schemas.CONTROL), ("folded", schemas.FOLDED)):
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{name}/none/none")
         return self
 
-    def _read(self, spark, name) -> DataFrame:
-        return spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}")
-
-    def _read_polls(self, spark, name, polls: list[str]) -> DataFrame:
+    # --- what is committed ---------------------------------------------------------------------
+
+    def state(self, spark) -> State:
+        """Read control and folds once. Operations that get the state see nothing newer."""
+        folded = spark.read.schema(schemas.FOLDED).parquet(f"{self.root}/folded/*/*")
+        held = folded.collect()  # one row per poll and source
+        folds = [f for _, f in sorted({(r.fold_no, r.fold) for r in held})]
+        fold_no = max((r.fold_no for r in held), default=0)
+        rows = spark.read.schema(schemas.CONTROL).parquet(f"{self.root}/control/*/*")
+        new = rows.join(folded.select(*PAIR), PAIR, "left_anti").select(*rows.columns)
+        # A null source equals no other in a join.
+        held_null = {r.poll for r in held if r.source_db is None}
+        fresh = [r for r in new.collect() if r.source_db is not None or r.poll not in held_null]
+        control = spark.createDataFrame(fresh, schemas.CONTROL)
+        if folds:
+            control = control.unionByName(self._read_folds(spark, "control", folds))
+        pairs = [(r.poll, r.source_db, r.poll_no) for r in fresh]
+        return State(folds, fold_no, control, pairs, frozenset(r.poll for r in held if r.poll))
+
+    def _read_folds(self, spark, name, folds) -> DataFrame:
+        return spark.read.schema(FOLDED[name]).parquet(*[f"{self.root}/folds/{f}/{name}" for f in folds])
+
+    def _read_polls(self, spark, name, polls) -> DataFrame:
         """The folders of some polls; no other folder is listed."""
         if not polls:
             return spark.createDataFrame([], TABLES[name])
-        folders = [f"{self.root}/{name}/poll={poll}" for poll in polls]
+        places = [f"{self.root}/{name}/poll={poll}" for poll in polls]
         reader = spark.read.schema(TABLES[name]).option("basePath", f"{self.root}/{name}")
-        return reader.parquet(*folders)
-
-    def _write(self, rows: DataFrame, name: str, poll: str) -> None:
-        columns = [c for c in TABLES[name].fieldNames() if c != "poll"]
-        rows.select(*columns).write.mode("error").parquet(f"{self.root}/{name}/poll={poll}")
-
-    def control(self, spark) -> DataFrame:
-        return self._read(spark, "control")
+        return reader.parquet(*places)
+
+    def _since_fold(self, spark, name, state: State) -> DataFrame:
+        """Rows of the polls since the last fold, with their numbers."""
+        numbers = spark.createDataFrame(state.pairs, "poll string, source_db string, poll_no long")
+        rows = self._read_polls(spark, name, state.polls)
+        same = (rows.poll == numbers.poll) & rows.source_db.eqNullSafe(numbers.source_db)
+        return rows.join(numbers, same).select(rows["*"], numbers.poll_no)
+
+    def _committed(self, spark, name, state: State | None) -> DataFrame:
+        state = state or self.state(spark)
+        new = self._since_fold(spark, name, state)
+        if not state.folds:
+            return new
+        return self._read_folds(spark, name, state.folds).select(*new.columns).unionByName(new)
+
+    def control(self, spark, state: State | None = None) -> DataFrame:
+        return (state or self.state(spark)).control
+
+    def committed_sources(self, spark, label: str, state: State | None = None) -> DataFrame:
+        """(source_db) that a poll of exactly this label has committed."""
+        control = self.control(spark, state)
+        return control.where(F.substring_index("poll", ".", 1) == label).select("source_db").distinct()
 
     def has_poll(self, spark, label: str) -> bool:
         """Is there a committed poll of exactly this label?"""
-        return not self.control(spark).where(F.substring_index("poll", ".", 1) == label).isEmpty()
-
-    def _numbers(self, spark) -> DataFrame:
-        """(poll, poll_no) of the committed polls."""
-        return known_size(self.control(spark).groupBy("poll").agg(F.max("poll_no").alias("poll_no")))
+        return not self.committed_sources(spark, label).isEmpty()
 
-    def _committed(self, spark, name) -> DataFrame:
-        return self._read(spark, name).join(self._numbers(spark), "poll")
+    def last_control(self, spark, settings=Settings(), state: State | None = None) -> DataFrame:
+        """Newest control row of each source, without commits to the base epoch."""
+        own = self.control(spark, state).where(~F.col("epoch").eqNullSafe(settings.base_epoch))
+        return latest_row(own, ["source_db"], [F.desc("poll_no"), F.desc("poll")])
 
-    def versions(self, spark) -> DataFrame:
-        """All versions of all committed polls."""
-        return self._committed(spark, "versions")
+    def next_poll_no(self, spark, state: State | None = None) -> int:
+        newest = self.control(spark, state).agg(F.max("poll_no")).first()[0]
+        return (newest or 0) + 1
 
-    def changesets(self, spark) -> DataFrame:
-        return self._committed(spark, "changesets")
+    # --- versions and texts --------------------------------------------------------------------
 
-    def messages(self, spark) -> DataFrame:
-        return self._committed(spark, "messages")
+    def version_rows(self, spark, state: State | None = None) -> DataFrame:
+        """All versions of all committed polls, without texts."""
+        state = state or self.state(spark)
+        rows = self.current_rows(spark, state)
+        if not state.folds:
+            return rows
+        return self._closed(spark, state).select(*rows.columns).unionByName(rows)
 
-    def poll_versions(self, spark, poll: str) -> DataFrame:
-        """Rows of one poll, committed or not."""
-        return self._read_polls(spark, "versions", [poll])
+    def versions(self, spark) -> DataFrame:
+        state = self.state(spark)
+        return self.with_texts(spark, self.version_rows(spark, state), state)
 
-    def _last_fold(self, spark) -> str | None:
-        folded = spark.read.schema(FOLDED).parquet(f"{self.root}/folded")
-        newest = folded.agg(F.max_by("fold", F.struct("fold_no", "fold"))).first()[0]
-        return newest
+    def current_rows(self, spark, state: State | None = None) -> DataFrame:
+        """Versions that a snapshot needs: those the last fold holds as valid, and the polls since."""
+        state = state or self.state(spark)
+        new = self._since_fold(spark, "versions", state)
+        if state.last_fold is None:
+            return new
+        return self._open(spark, state).select(*new.columns).unionByName(new)
 
     def current(self, spark) -> DataFrame:
-        """Versions that a snapshot needs: the last fold and the polls since then."""
-        fold = self._last_fold(spark)
-        numbers = self._numbers(spark)
-        rows = None
-        if fold is not None:
-            done = spark.read.schema(FOLDED).parquet(f"{self.root}/folded").where(F.col("fold") == fold)
-            numbers = numbers.join(done.select("poll"), "poll", "left_anti")
-            rows = spark.read.schema(NUMBERED_VERSIONS).parquet(f"{self.root}/folds/{fold}")
-        numbers = known_size(numbers)
-        since = numbers.collect()  # the polls since the last fold, one row each
-        new = self._read_polls(spark, "versions", [r.poll for r in since]).join(numbers, "poll")
-        return new if rows is None else rows.unionByName(new)
-
-    def fold(self, spark) -> str:
-        """Write the newest version of each path of each epoch in one piece."""
-        control = self.control(spark)
-        polls = [r.poll for r in control.select("poll").distinct().collect()]
-        number = control.agg(F.max("poll_no")).first()[0] or 0
-        fold = f"fold-{uuid.uuid4().hex}"
-        newest = latest_row(self.current(spark), ["source_db", "epoch", "path"], newest_first())
-        newest.select(*NUMBERED_VERSIONS.fieldNames()).write.mode("error").parquet(
-            f"{self.root}/folds/{fold}"
-        )
-        # Polls named before the versions were read; one that came between is read again later.
-        held = [(fold, number, poll) for poll in polls]
-        spark.createDataFrame(held, FOLDED).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/folded/{fold}"
-        )
-        return fold
+        state = self.state(spark)
+        return self.with_texts(spark, self.current_rows(spark, state), state)
+
+    def _open(self, spark, state: State) -> DataFrame:
+        folded = spark.read.schema(FOLDED["versions"])
+        return folded.parquet(f"{self.root}/folds/{state.last_fold}/versions/open=true")
+
+    def _closed(self, spark, state: State) -> DataFrame:
+        places = [f"{self.root}/folds/{f}/versions/open=false" for f in state.folds]
+        return spark.read.schema(FOLDED["versions"]).parquet(*places)
+
+    def intervals(self, spark, state: State | None = None) -> DataFrame:
+        """Every version with the polls between which it was valid: those that folds have closed, and
+        the others as they follow from the last fold and the polls since."""
+        state = state or self.state(spark)
+        alive = history.validity(self.current_rows(spark, state)).select(*FOLDED["versions"].fieldNames())
+        if not state.folds:
+            return alive
+        return self._closed(spark, state).unionByName(alive)
+
+    def as_of(self, spark, points: DataFrame, settings=Settings()) -> DataFrame:
+        """Snapshot with texts as of a poll or change set of each source, see `snapshot_as_of`."""
+        state = self.state(spark)
+        found = history.snapshot_as_of(self.intervals(spark, state), points, settings)
+        return self.with_texts(spark, found, state)
+
+    def snapshot(self, spark, epochs: DataFrame, settings=Settings()) -> DataFrame:
+        """Current files of each source's epoch, with texts; these are fetched for the files alone."""
+        state = self.state(spark)
+        found = epoch_snapshot(self.current_rows(spark, state), epochs, settings)
+        return self.with_texts(spark, found, state)
+
+    def texts(self, spark, state: State | None = None) -> DataFrame:
+        """(poll, text_sha, text): each text in the folder of the poll that brought it."""
+        state = state or self.state(spark)
+        new = self._read_polls(spark, "texts", sorted(set(state.polls) - state.folded_polls))
+        if not state.folds:
+            return new
+        return self._read_folds(spark, "texts", state.folds).unionByName(new)
+
+    def with_texts(self, spark, rows: DataFrame, state: State | None = None) -> DataFrame:
+        """Add the texts of versions; a hash and the poll that brought it name one text."""
+        texts = self.texts(spark, state).withColumnRenamed("poll", "text_poll")
+        return rows.join(texts, ["text_sha", "text_poll"], "left")
+
+    def known_texts(self, spark, hashes: DataFrame, state: State | None = None) -> DataFrame:
+        """(text_sha, text_poll) of those hashes whose text is stored; only hashes are read."""
+        stored = self.texts(spark, state).select("text_sha", F.col("poll").alias("text_poll"))
+        known = stored.join(hashes.select("text_sha").distinct(), "text_sha", "left_semi")
+        return known.groupBy("text_sha").agg(F.min("text_poll").alias("text_poll"))
 
-    def last_control(self, spark, settings=Settings()) -> DataFrame:
-        """Newest control row of each source, without commits to the base epoch."""
-        own = self.control(spark).where(~F.col("epoch").eqNullSafe(settings.base_epoch))
-        return latest_row(own, ["source_db"], [F.desc("poll_no"), F.desc("poll")])
+    def changesets(self, spark) -> DataFrame:
+        return self._committed(spark, "changesets", None)
 
-    def next_poll_no(self, spark) -> int:
-        newest = self.control(spark).agg(F.max("poll_no")).first()[0]
-        return (newest or 0) + 1
+    def messages(self, spark) -> DataFrame:
+        return self._committed(spark, "messages", None)
 
-    def append_versions(self, rows: DataFrame, poll: str) -> None:
-        self._write(rows, "versions", poll)
+    def poll_versions(self, spark, poll: str) -> DataFrame:
+        """Rows of one poll, committed or not, without texts."""
+        return self._read_polls(spark, "versions", [poll])
 
-    def append_changesets(self, rows: DataFrame, poll: str) -> None:
-        self._write(rows, "changesets", poll)
+    # --- writing -------------------------------------------------------------------------------
 
-    def append_messages(self, rows: DataFrame, poll: str) -> None:
-        self._write(rows, "messages", poll)
+    def append(self, name: str, rows: DataFrame, poll: str) -> None:
+        columns = [c for c in TABLES[name].fieldNames() if c != "poll"]
+        rows.select(*columns).write.mode("error").parquet(f"{self.root}/{name}/poll={poll}")
 
-    def append_control(self, rows: DataFrame, poll: str) -> None:
-        """One row per source; a poll counts from here on."""
-        self._write(rows.coalesce(1), "control", poll)
+    def commit(self, rows: DataFrame, poll: str, state: State, settings=Settings()) -> list:
+        """Commit a poll for each source in `rows` (source_db, epoch, poll_no, high_water, updated_at)
+        that nobody has committed since `state` was read. Returns the sources that were committed."""
+        spark = rows.sparkSession
+        columns = [c for c in schemas.CONTROL.fieldNames() if c != "poll"]
+        made = rows.select(*columns).collect()  # one row per source
+        chains = {chain_name(r.source_db, r.epoch == settings.base_epoch): r for r in made}
+        if not chains:
+            return []
+        heads = {}
+        is_base = F.col("epoch").eqNullSafe(settings.base_epoch)
+        for r in state.control.groupBy("source_db", is_base.alias("b")).agg(F.max("poll_no").alias("n")).collect():
+            heads[chain_name(r.source_db, r.b)] = r.n
+        staged = f"{self.root}/staged/{poll}"
+        full = [(name, poll, *[r[c] for c in columns]) for name, r in chains.items()]
+        kinds = T.StructType(
+            [T.StructField(c, T.StringType()) for c in ("chain", "poll")] + [schemas.CONTROL[c] for c in columns]
+        )
+        local = spark.createDataFrame(full, kinds).coalesce(1)
+        local.write.partitionBy("chain").parquet(staged)
+        won = []
+        for name, row in chains.items():
+            target = f"{self.root}/control/{name}/after={heads.get(name, 0)}"
+            if folders.move_if_absent(spark, f"{staged}/chain={name}", target):
+                won.append(row.source_db)
+        folders.remove(spark, staged)
+        return won
+
+    # --- upkeep --------------------------------------------------------------------------------
+
+    def fold(self, spark) -> str | None:
+        """Put together what was committed since the last fold. Returns the fold's name, or None if
+        there was nothing or another fold was faster."""
+        state = self.state(spark)
+        if not state.pairs:
+            return None
+        fold = f"fold-{uuid.uuid4().hex}"
+        place = f"{self.root}/folds/{fold}"
+        rows = history.validity(self.current_rows(spark, state))
+        kinds = FOLDED["versions"].fieldNames()
+        is_open = F.col("valid_to").isNull()
+        rows.select(*kinds, is_open.alias("open")).write.partitionBy("open").parquet(f"{place}/versions")
+        for kind in ("true", "false"):  # a part without rows must be readable, too
+            empty = spark.createDataFrame([], FOLDED["versions"])
+            empty.write.mode("append").parquet(f"{place}/versions/open={kind}")
+        for name in ("changesets", "messages"):
+            self._since_fold(spark, name, state).write.parquet(f"{place}/{name}")
+        new = sorted(set(state.polls) - state.folded_polls)
+        self._read_polls(spark, "texts", new).write.parquet(f"{place}/texts")
+        pairs = spark.createDataFrame([p[:2] for p in state.pairs], "poll string, source_db string")
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in PAIR]
+        control = state.control.alias("c").join(pairs.alias("p"), reduce(lambda a, b: a & b, same), "left_semi")
+        control.coalesce(1).write.parquet(f"{place}/control")
+        held = [(fold, state.fold_no + 1, source, poll) for poll, source, _ in state.pairs]
+        staged = f"{self.root}/staged/{fold}"
+        spark.createDataFrame(held, schemas.FOLDED).coalesce(1).write.parquet(staged)
+        target = f"{self.root}/folded/folds/after={state.fold_no}"
+        return fold if folders.move_if_absent(spark, staged, target) else None
+
+    def sweep(self, spark, keep_hours: float = 24.0) -> list[str]:
+        """Remove folders older than `keep_hours` that no reader needs: of attempts that were never
+        committed, and of polls that a fold holds. Returns their names below the root.
+
+        An attempt must not take longer than that, as its folders look like those of a failed one.
+        """
+        state = self.state(spark)
+        oldest = (time.time() - keep_hours * 3600) * 1000
+        needed = {f"poll={poll}" for poll in state.polls}
+        found = [
+            f"{name}/{child}"
+            for name in TABLES
+            for child, changed in folders.children(spark, f"{self.root}/{name}")
+            if child not in needed and changed < oldest
+        ]
+        for name, kept in (("folds", set(state.folds)), ("staged", set())):
+            below = folders.children(spark, f"{self.root}/{name}")
+            found += [f"{name}/{child}" for child, changed in below if child not in kept and changed < oldest]
+        waiting = {(poll, source) for poll, source, _ in state.pairs}
+        control = spark.read.schema(schemas.CONTROL).parquet(f"{self.root}/control/*/*")
+        placed = control.select(*PAIR, F.col("_metadata.file_path").alias("file")).collect()
+        folded = {tuple(r.file.split("/")[-3:-1]) for r in placed if (r.poll, r.source_db) not in waiting}
+        for chain in {chain for chain, _ in folded}:
+            ages = dict(folders.children(spark, f"{self.root}/control/{chain}"))
+            for own, child in folded:
+                if own == chain and ages.get(child, oldest) < oldest:
+                    found.append(f"control/{chain}/{child}")
+        for name in found:
+            folders.remove(spark, f"{self.root}/{name}")
+        return sorted(found)
+
+    def upkeep(self, spark, settings=Settings()) -> None:
+        """Fold and sweep once enough polls were committed since the last fold."""
+        if settings.polls_per_fold and len(self.state(spark).polls) >= settings.polls_per_fold:
+            if self.fold(spark) is not None:
+                self.sweep(spark, settings.keep_hours)
 
 
 def newest_first():

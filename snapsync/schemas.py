@@ -38,10 +38,13 @@ OBJECT_VERSIONS = _schema(
     path=STRING,
     modified=TIME,
     user_modified=STRING,
-    text=STRING,
     text_sha=STRING,
+    # The poll that brought the text: a hash and its poll name one stored text.
+    text_poll=STRING,
+    changeset_id=LONG,
     removed=T.BooleanType(),
 )
+TEXTS = _schema(poll=STRING, text_sha=STRING, text=STRING)
 CHANGESETS = _schema(
     source_db=STRING,
     epoch=STRING,
@@ -71,3 +74,5 @@ CONTROL = _schema(
     high_water=TIME,
     updated_at=TIME,
 )
+# Which polls of which sources a fold holds.
+FOLDED = _schema(fold=STRING, fold_no=LONG, source_db=STRING, poll=STRING)

@@ -20,3 +20,9 @@ class Settings:
     names_per_message: int = 100_000
     # Lines joined in one task before the blocks of a long text are put together.
     lines_per_block: int = 4096
+    # Polls after which a store is folded (0: never by itself), and the age in hours from which folders
+    # that no reader needs are removed then.
+    polls_per_fold: int = 100
+    keep_hours: float = 24.0
+    # How often a poll looks again when another one of the same source was faster.
+    commit_tries: int = 5

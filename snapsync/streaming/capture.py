@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapsync.functions.times import epoch_name
+from snapsync.operators.joins import join_null_safe
 from snapsync.operators.sizing import written
 from snapsync.plans.poll import capture
 from snapsync.plans.store import Store
@@ -23,8 +24,8 @@ def capture_stream(
     """Turn each micro-batch into object versions and change sets of the store.
 
     Without an interval the query takes what is there and ends. A batch that is delivered again
-    after a failure is skipped when its control rows exist, and starts anew when they do not. It is
-    known by the id that its checkpoint gave the query, so that other streams into the store, or one
+    after a failure is skipped for the sources whose control rows exist, and starts anew for the
+    others. It is known by the id that its checkpoint gave the query, so that other streams into the store, or one
     with a new checkpoint, are not taken for it. A mark never moves back.
     """
     started: Future = Future()
@@ -32,11 +33,13 @@ def capture_stream(
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         label = f"stream-{started.result()}-{batch_id:010d}"
-        if store.has_poll(spark, label):
+        committed = store.state(spark)
+        done = store.committed_sources(spark, label, committed)
+        rows = written(join_null_safe(batch, done, ["source_db"], "left_anti"), "batch")
+        if rows.isEmpty():
             return
-        rows = written(batch, "batch")
         now = rows.groupBy("source_db").agg(F.max("modified").alias("newest"))
-        known = store.last_control(spark, settings).select(
+        known = store.last_control(spark, settings, committed).select(
             "source_db", F.col("epoch").alias("known"), "high_water"
         )
         states = now.join(known, "source_db", "left").withColumn(

@@ -89,7 +89,7 @@ def test_a_failed_poll_leaves_nothing_to_see(spark, store, monkeypatch):
         raise OSError("disk")
 
     with monkeypatch.context() as patch:
-        patch.setattr(Store, "append_control", fail)
+        patch.setattr(Store, "commit", fail)
         with pytest.raises(OSError):
             poll.capture(rows, now, store)
     assert store.versions(spark).isEmpty() and store.changesets(spark).isEmpty()
