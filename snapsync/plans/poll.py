@@ -115,10 +115,11 @@ def capture(
     # Fixed before anything is written: the state of a source must not move while it is used.
     states = known_size(states)
     for _ in range(settings.commit_tries):
-        poll, won = _capture_once(rows, states, store, label, settings, how, listing)
+        known = store.state(spark, settings)
+        poll, won = _capture_once(rows, states, store, known, label, settings, how, listing)
         lost = [r.source_db for r in states.select("source_db").collect() if r.source_db not in won]
         if not lost:
-            store.upkeep(spark, settings)
+            store.upkeep(spark, len(known.polls) + 1, settings)
             return poll
         kept = spark.createDataFrame([(source,) for source in lost], "source_db string")
         states, rows = (join_null_safe(df, kept, ["source_db"], "left_semi") for df in (states, rows))
@@ -128,11 +129,9 @@ def capture(
     raise Conflict(f"sources {lost}: another poll was committed {settings.commit_tries} times")
 
 
-def _capture_once(rows, states, store, label, settings, how, listing) -> tuple[str, list]:
+def _capture_once(rows, states, store, known, label, settings, how, listing) -> tuple[str, list]:
     """The poll's name and the sources for which it was committed."""
     spark = rows.sparkSession
-    known = store.state(spark)
-    poll_no = store.next_poll_no(spark, known)
     # A new name for every attempt: what a failed attempt wrote is never named by control.
     poll = f"{label}.{uuid.uuid4().hex}"
     stored = epoch_snapshot(store.current_rows(spark, known), states, settings)
@@ -173,7 +172,7 @@ def _capture_once(rows, states, store, label, settings, how, listing) -> tuple[s
     control = join_null_safe(states, before, ["source_db"], "left").select(
         "source_db",
         "epoch",
-        F.lit(poll_no).cast("bigint").alias("poll_no"),
+        F.lit(known.next_poll_no).cast("bigint").alias("poll_no"),
         F.greatest("as_of", "high_water").alias("high_water"),
         F.col("local_time").alias("updated_at"),
     )
@@ -201,8 +200,8 @@ def merge_into_base(spark: SparkSession, store: Store, settings=Settings()) -> s
     """Bring the base epoch up to each source's present epoch: files that differ become versions of
     the base, files that the epoch lost are removed there. A new epoch then starts from them. Texts
     stay where they are. A source that was merged by someone else meanwhile keeps that merge."""
-    state = store.state(spark)
-    control = known_size(store.last_control(spark, settings, state))
+    state = store.state(spark, settings)
+    control = store.last_control(spark, settings, state)
     versions = store.current_rows(spark, state)
     base = control.select("source_db", F.lit(settings.base_epoch).alias("epoch"))
     own = epoch_snapshot(versions, control.select("source_db", "epoch"), settings)
@@ -225,7 +224,7 @@ def merge_into_base(spark: SparkSession, store: Store, settings=Settings()) -> s
         control.select(
             "source_db",
             F.lit(settings.base_epoch).alias("epoch"),
-            F.lit(store.next_poll_no(spark, state)).cast("bigint").alias("poll_no"),
+            F.lit(state.next_poll_no).cast("bigint").alias("poll_no"),
             "high_water",
             "updated_at",
         ),

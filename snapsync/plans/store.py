@@ -16,13 +16,12 @@ folders of the polls since then. `sweep` removes folders that no reader needs.
 import re
 import time
 import uuid
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from snapsync import schemas
-from snapsync.operators.joins import known_size
+from snapsync.operators.joins import join_null_safe, known_size
 from snapsync.operators.ordering import latest_row
 from snapsync.plans import history
 from snapsync.settings import Settings
@@ -36,13 +35,12 @@ TABLES = {
     "changesets": schemas.CHANGESETS,
     "messages": schemas.MESSAGES,
 }
-# What folds hold: control rows have their number anyway, texts belong to no source.
+# What folds hold; texts belong to no source.
 FOLDED = {
     "versions": T.StructType([*schemas.OBJECT_VERSIONS.fields, POLL_NO, *ENDS]),
     "texts": schemas.TEXTS,
     "changesets": T.StructType([*schemas.CHANGESETS.fields, POLL_NO]),
     "messages": T.StructType([*schemas.MESSAGES.fields, POLL_NO]),
-    "control": schemas.CONTROL,
 }
 PAIR = ["poll", "source_db"]
 
@@ -57,25 +55,29 @@ def chain_name(source_db: str | None, of_base: bool) -> str:
 
 @dataclass(frozen=True)
 class State:
-    """What is committed: the folds, and control rows (folded or not) as a local table."""
+    """What is committed: the folds, the control rows since the last one, and the newest control row of
+    each source and kind of epoch (own or base)."""
 
     folds: list[str]
     fold_no: int
-    control: DataFrame
-    # Control rows since the last fold, one per poll and source.
-    pairs: list[tuple] = field(default_factory=list)
-    # Polls of which a fold holds some source; their texts are there.
-    folded_polls: frozenset = frozenset()
+    fresh: list[Row]
+    heads: dict[tuple, Row]
+    # Polls since the last fold of which a fold holds some other source; their texts are there.
+    partly_folded: frozenset = frozenset()
 
     @property
     def polls(self) -> list[str]:
         """Polls since the last fold."""
-        return sorted({poll for poll, *_ in self.pairs})
+        return sorted({r.poll for r in self.fresh})
 
     @property
     def last_fold(self) -> str | None:
         return self.folds[-1] if self.folds else None
 
+    @property
+    def next_poll_no(self) -> int:
+        return max((r.poll_no for r in self.heads.values()), default=0) + 1
+
 
 class Conflict(Exception):
     """Other polls of the same sources were committed each time."""
@@ -93,22 +95,29 @@ class Store:
 
     # --- what is committed ---------------------------------------------------------------------
 
-    def state(self, spark) -> State:
-        """Read control and folds once. Operations that get the state see nothing newer."""
-        folded = spark.read.schema(schemas.FOLDED).parquet(f"{self.root}/folded/*/*")
-        held = folded.collect()  # one row per poll and source
-        folds = [f for _, f in sorted({(r.fold_no, r.fold) for r in held})]
-        fold_no = max((r.fold_no for r in held), default=0)
+    def state(self, spark, settings=Settings()) -> State:
+        """Read control and folds once. Operations that get the state see nothing newer. What reaches the
+        driver are the rows since the last fold, one per source, and one per fold."""
+        folded = self._folded(spark)
+        folds = folded.groupBy("fold").agg(F.max("fold_no").alias("n")).orderBy("n").collect()
         rows = spark.read.schema(schemas.CONTROL).parquet(f"{self.root}/control/*/*")
-        new = rows.join(folded.select(*PAIR), PAIR, "left_anti").select(*rows.columns)
-        # A null source equals no other in a join.
-        held_null = {r.poll for r in held if r.source_db is None}
-        fresh = [r for r in new.collect() if r.source_db is not None or r.poll not in held_null]
-        control = spark.createDataFrame(fresh, schemas.CONTROL)
+        partly, newest = frozenset(), []
         if folds:
-            control = control.unionByName(self._read_folds(spark, "control", folds))
-        pairs = [(r.poll, r.source_db, r.poll_no) for r in fresh]
-        return State(folds, fold_no, control, pairs, frozenset(r.poll for r in held if r.poll))
+            rows = join_null_safe(rows, folded.select(*PAIR), PAIR, "left_anti")
+            held = folded.join(rows.select("poll").distinct(), "poll", "left_semi")
+            partly = frozenset(r.poll for r in held.select("poll").distinct().collect())
+            is_base = F.col("epoch").eqNullSafe(settings.base_epoch)
+            own = folded.select(*schemas.CONTROL.fieldNames(), is_base.alias("_base"))
+            newest = latest_row(own, ["source_db", "_base"], [F.desc("poll_no")]).drop("_base").collect()
+        fresh = rows.select(*schemas.CONTROL.fieldNames()).collect()
+        heads = {}
+        for row in sorted([*newest, *fresh], key=lambda r: (r.poll_no, r.poll)):
+            heads[row.source_db, row.epoch == settings.base_epoch] = row
+        return State([r.fold for r in folds], folds[-1].n if folds else 0, fresh, heads, partly)
+
+    def _folded(self, spark) -> DataFrame:
+        """Control rows of the polls that folds hold."""
+        return spark.read.schema(schemas.FOLDED).parquet(f"{self.root}/folded/*/*")
 
     def _read_folds(self, spark, name, folds) -> DataFrame:
         return spark.read.schema(FOLDED[name]).parquet(*[f"{self.root}/folds/{f}/{name}" for f in folds])
@@ -123,7 +132,8 @@ class Store:
 
     def _since_fold(self, spark, name, state: State) -> DataFrame:
         """Rows of the polls since the last fold, with their numbers."""
-        numbers = spark.createDataFrame(state.pairs, "poll string, source_db string, poll_no long")
+        pairs = [(r.poll, r.source_db, r.poll_no) for r in state.fresh]
+        numbers = spark.createDataFrame(pairs, "poll string, source_db string, poll_no long")
         rows = self._read_polls(spark, name, state.polls)
         same = (rows.poll == numbers.poll) & rows.source_db.eqNullSafe(numbers.source_db)
         return rows.join(numbers, same).select(rows["*"], numbers.poll_no)
@@ -136,7 +146,11 @@ class Store:
         return self._read_folds(spark, name, state.folds).select(*new.columns).unionByName(new)
 
     def control(self, spark, state: State | None = None) -> DataFrame:
-        return (state or self.state(spark)).control
+        state = state or self.state(spark)
+        fresh = spark.createDataFrame(state.fresh, schemas.CONTROL)
+        if not state.folds:
+            return fresh
+        return self._folded(spark).select(*fresh.columns).unionByName(fresh)
 
     def committed_sources(self, spark, label: str, state: State | None = None) -> DataFrame:
         """(source_db) that a poll of exactly this label has committed."""
@@ -149,12 +163,12 @@ class Store:
 
     def last_control(self, spark, settings=Settings(), state: State | None = None) -> DataFrame:
         """Newest control row of each source, without commits to the base epoch."""
-        own = self.control(spark, state).where(~F.col("epoch").eqNullSafe(settings.base_epoch))
-        return latest_row(own, ["source_db"], [F.desc("poll_no"), F.desc("poll")])
+        state = state or self.state(spark, settings)
+        own = [row for (_, of_base), row in state.heads.items() if not of_base]
+        return spark.createDataFrame(own, schemas.CONTROL)
 
     def next_poll_no(self, spark, state: State | None = None) -> int:
-        newest = self.control(spark, state).agg(F.max("poll_no")).first()[0]
-        return (newest or 0) + 1
+        return (state or self.state(spark)).next_poll_no
 
     # --- versions and texts --------------------------------------------------------------------
 
@@ -214,7 +228,7 @@ class Store:
     def texts(self, spark, state: State | None = None) -> DataFrame:
         """(poll, text_sha, text): each text in the folder of the poll that brought it."""
         state = state or self.state(spark)
-        new = self._read_polls(spark, "texts", sorted(set(state.polls) - state.folded_polls))
+        new = self._read_polls(spark, "texts", sorted(set(state.polls) - state.partly_folded))
         if not state.folds:
             return new
         return self._read_folds(spark, "texts", state.folds).unionByName(new)
@@ -255,10 +269,7 @@ class Store:
         chains = {chain_name(r.source_db, r.epoch == settings.base_epoch): r for r in made}
         if not chains:
             return []
-        heads = {}
-        is_base = F.col("epoch").eqNullSafe(settings.base_epoch)
-        for r in state.control.groupBy("source_db", is_base.alias("b")).agg(F.max("poll_no").alias("n")).collect():
-            heads[chain_name(r.source_db, r.b)] = r.n
+        heads = {chain_name(*key): row.poll_no for key, row in state.heads.items()}
         staged = f"{self.root}/staged/{poll}"
         full = [(name, poll, *[r[c] for c in columns]) for name, r in chains.items()]
         kinds = T.StructType(
@@ -280,7 +291,7 @@ class Store:
         """Put together what was committed since the last fold. Returns the fold's name, or None if
         there was nothing or another fold was faster."""
         state = self.state(spark)
-        if not state.pairs:
+        if not state.fresh:
             return None
         fold = f"fold-{uuid.uuid4().hex}"
         place = f"{self.root}/folds/{fold}"
@@ -293,15 +304,13 @@ class Store:
             empty.write.mode("append").parquet(f"{place}/versions/open={kind}")
         for name in ("changesets", "messages"):
             self._since_fold(spark, name, state).write.parquet(f"{place}/{name}")
-        new = sorted(set(state.polls) - state.folded_polls)
+        new = sorted(set(state.polls) - state.partly_folded)
         self._read_polls(spark, "texts", new).write.parquet(f"{place}/texts")
-        pairs = spark.createDataFrame([p[:2] for p in state.pairs], "poll string, source_db string")
-        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in PAIR]
-        control = state.control.alias("c").join(pairs.alias("p"), reduce(lambda a, b: a & b, same), "left_semi")
-        control.coalesce(1).write.parquet(f"{place}/control")
-        held = [(fold, state.fold_no + 1, source, poll) for poll, source, _ in state.pairs]
+        held = spark.createDataFrame(state.fresh, schemas.CONTROL).withColumns(
+            {"fold": F.lit(fold), "fold_no": F.lit(state.fold_no + 1).cast("long")}
+        )
         staged = f"{self.root}/staged/{fold}"
-        spark.createDataFrame(held, schemas.FOLDED).coalesce(1).write.parquet(staged)
+        held.coalesce(1).write.parquet(staged)
         target = f"{self.root}/folded/folds/after={state.fold_no}"
         return fold if folders.move_if_absent(spark, staged, target) else None
 
@@ -323,7 +332,7 @@ class Store:
         for name, kept in (("folds", set(state.folds)), ("staged", set())):
             below = folders.children(spark, f"{self.root}/{name}")
             found += [f"{name}/{child}" for child, changed in below if child not in kept and changed < oldest]
-        waiting = {(poll, source) for poll, source, _ in state.pairs}
+        waiting = {(r.poll, r.source_db) for r in state.fresh}
         control = spark.read.schema(schemas.CONTROL).parquet(f"{self.root}/control/*/*")
         placed = control.select(*PAIR, F.col("_metadata.file_path").alias("file")).collect()
         folded = {tuple(r.file.split("/")[-3:-1]) for r in placed if (r.poll, r.source_db) not in waiting}
@@ -336,9 +345,9 @@ class Store:
             folders.remove(spark, f"{self.root}/{name}")
         return sorted(found)
 
-    def upkeep(self, spark, settings=Settings()) -> None:
-        """Fold and sweep once enough polls were committed since the last fold."""
-        if settings.polls_per_fold and len(self.state(spark).polls) >= settings.polls_per_fold:
+    def upkeep(self, spark, polls: int, settings=Settings()) -> None:
+        """Fold and sweep, if that many polls since the last fold are enough."""
+        if settings.polls_per_fold and polls >= settings.polls_per_fold:
             if self.fold(spark) is not None:
                 self.sweep(spark, settings.keep_hours)
 

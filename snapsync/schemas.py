@@ -74,5 +74,5 @@ CONTROL = _schema(
     high_water=TIME,
     updated_at=TIME,
 )
-# Which polls of which sources a fold holds.
-FOLDED = _schema(fold=STRING, fold_no=LONG, source_db=STRING, poll=STRING)
+# Control rows of the polls that a fold holds.
+FOLDED = T.StructType([*CONTROL.fields, T.StructField("fold", STRING), T.StructField("fold_no", LONG)])

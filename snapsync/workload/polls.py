@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapsync.functions.text import text_sha
 from snapsync.operators import changesets, diff
 from snapsync.operators.sizing import new_folder, written
-from snapsync.plans import changes, poll, pull, store
+from snapsync.plans import changes, history, poll, pull, store
 from snapsync.plans.store import Store
 from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
@@ -543,6 +543,94 @@ def late_rows(spark, sf):
     return poll.late_rows(rows, bounds, known, keys).select(*keys)
 
 
+# --- earlier states -----------------------------------------------------------------------------
+
+_INTERVALS = """
+    select * from (
+        select *, poll_no as valid_from, lead(poll_no) over (
+                   partition by source_db, epoch, path order by poll_no, modified) as valid_to
+        from fx_versions)
+    where valid_to is null or valid_from < valid_to"""
+# A point of its own for each source, within its polls.
+_POINTS = """select source_db, source_db || '_2024.01.02_03.04' as epoch,
+                    (11 + 4 * substr(source_db, 3)::bigint) as poll_no from fx_now"""
+
+
+def _points(spark, sf):
+    number = 11 + 4 * F.substr("source_db", F.lit(3)).cast("long")
+    epoch = F.concat("source_db", F.lit("_2024.01.02_03.04"))
+    return fx.now(spark, sf).select("source_db", epoch.alias("epoch"), number.alias("poll_no"))
+
+
+def _as_of(points):
+    """Replay: the newest versions of the polls up to each source's point, epoch over base."""
+    return f"""
+        select source_db, path, modified, text, poll_no, epoch from (
+            select v.* from fx_versions v join ({points}) p on v.source_db = p.source_db
+            where v.poll_no <= p.poll_no and (v.epoch = 'master' or v.epoch = p.epoch)
+            qualify row_number() over (partition by v.source_db, path
+                    order by v.epoch = 'master', v.poll_no desc, modified desc) = 1)
+        where not removed"""
+
+
+@query("version_intervals", _INTERVALS)
+def version_intervals(spark, sf):
+    return history.validity(fx.versions(spark, sf)).drop("from_set", "to_set")
+
+
+@query("snapshot_as_of", _as_of(_POINTS))
+def snapshot_as_of(spark, sf):
+    """Each source as of another poll, out of the intervals; the SQL replays the polls."""
+    intervals = history.validity(fx.versions(spark, sf))
+    found = history.snapshot_as_of(intervals, _points(spark, sf))
+    return found.select("source_db", "path", "modified", "text", "poll_no", "epoch")
+
+
+_MARKS = """select source_db, epoch, poll_no, max(modified) as high_water
+            from fx_versions group by 1, 2, 3"""
+
+
+def _marks(spark, sf):
+    keys = ["source_db", "epoch", "poll_no"]
+    return fx.versions(spark, sf).groupBy(*keys).agg(F.max("modified").alias("high_water"))
+
+
+@query(
+    "points_at",
+    f"""select m.source_db, epoch, poll_no from ({_MARKS}) m join fx_now n on m.source_db = n.source_db
+        where epoch <> 'master' and high_water <= as_of - to_days(3)
+        qualify row_number() over (partition by m.source_db order by poll_no desc, epoch desc) = 1""",
+)
+def points_at(spark, sf):
+    """The last poll of each source three days before its newest row."""
+    before = F.col("as_of") - F.make_dt_interval(days=F.lit(3))
+    times = fx.now(spark, sf).withColumn("as_of", before)
+    return history.points_at(_marks(spark, sf), times)
+
+
+_LATER_POINTS = f"select source_db, epoch, poll_no + 6 as poll_no from ({_POINTS})"
+
+
+@query(
+    "changed_between",
+    f"""select coalesce(o.source_db, n.source_db) as source_db, coalesce(o.path, n.path) as path,
+               case when o.path is null then 'added' when n.path is null then 'removed'
+               else 'changed' end as change, sha256(o.text) as old_sha, sha256(n.text) as new_sha
+        from ({_as_of(_POINTS)}) o full join ({_as_of(_LATER_POINTS)}) n
+          on o.source_db = n.source_db and o.path = n.path
+        where o.text is distinct from n.text or o.path is null or n.path is null""",
+)
+def changed_between(spark, sf):
+    """What six polls changed, from two snapshots."""
+    rows = fx.versions(spark, sf).withColumn("text_sha", text_sha(F.col("text"))).drop("text")
+    intervals = history.validity(rows)
+    first = _points(spark, sf)
+    second = first.withColumn("poll_no", F.col("poll_no") + 6)
+    return history.changed_between(
+        history.snapshot_as_of(intervals, first), history.snapshot_as_of(intervals, second)
+    )
+
+
 _CAPTURED = f"""with changed as (
     select * from fx_feed qualify
     row_number() over (partition by source_db, path order by modified desc) = 1), """
@@ -578,6 +666,29 @@ def poll_capture(spark, sf):
     return _stored_sets(spark, tables)
 
 
+def _captured(spark, sf, parts=1):
+    """A store into which the feed was captured in parts by time, one poll each."""
+    tables = Store(new_folder(spark, "store")).create(spark)
+    states = fx.now(spark, sf).withColumn("epoch", F.lit("first"))
+    feed = fx.feed(spark, sf).drop("path")
+    for part in range(parts):
+        days = F.dayofmonth("modified") % parts == part
+        poll.capture(feed.where(days), states, tables)
+    return tables
+
+
+@query(
+    "stored_texts",
+    """with newest as (
+           select *, day(modified) % 2 as part from fx_feed qualify row_number() over (
+               partition by source_db, path, day(modified) % 2 order by modified desc) = 1)
+       select distinct text, sha256(text) as text_sha from newest""",
+)
+def stored_texts(spark, sf):
+    """Two polls that bring many files of few texts: each text is stored once."""
+    return _captured(spark, sf, 2).texts(spark).select("text", "text_sha")
+
+
 def _event_stream(spark, sf):
     """The events file as a stream of files, in the columns of the feed."""
     schema = fx.table(spark, sf, "events").schema
