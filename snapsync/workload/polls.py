@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapsync.functions.text import text_sha
 from snapsync.operators import changesets, diff
 from snapsync.operators.sizing import new_folder, written
-from snapsync.plans import changes, history, poll, pull, store
+from snapsync.plans import changes, digests, history, poll, pull, store
 from snapsync.plans.store import Store
 from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
@@ -313,19 +313,69 @@ def export_parts(spark, sf):
     return pull.export_parts(t, keys)
 
 
-@query(
-    "pull_all",
-    _pulled(
-        _FOUND,
-        f"""select * from ({_FILES}) w where w.type <> 'UNKNOWN' and exists (
-                select 1 from ({CATALOG4}) c where c.type = w.type and c.source_db = w.source_db
-                and c.class_id = w.class_id and c.short_name = w.short_name)""",
-    ),
+PULL_ALL = _pulled(
+    _FOUND,
+    f"""select * from ({_FILES}) w where w.type <> 'UNKNOWN' and exists (
+            select 1 from ({CATALOG4}) c where c.type = w.type and c.source_db = w.source_db
+            and c.class_id = w.class_id and c.short_name = w.short_name)""",
 )
+
+
+@query("pull_all", PULL_ALL)
 def pull_all(spark, sf):
     return pull.pull_all(fx.tables(spark, sf), _snapshot(spark, sf), fx.PACKAGE)
 
 
+def _edited(files):
+    """A pulled snapshot in which two classes were changed by hand and one got files of no kind."""
+    text = F.when(F.col("class_id").isin("1-URGENT", "src3"), F.concat("text", F.lit(" edited")))
+    junk = files.where("class_id = '2-HIGH'").select(
+        "source_db",
+        F.lit("UNKNOWN").alias("type"),
+        "class_id",
+        "short_name",
+        F.concat("path", F.lit(".txt")).alias("path"),
+        "text",
+    )
+    return files.withColumn("text", text.otherwise(F.col("text"))).unionByName(junk)
+
+
+@query("pull_changed_classes", PULL_ALL)
+def pull_changed_classes(spark, sf):
+    """A second full pull, after some files were edited and one class of the sources has moved: it gives
+    what the first one gave."""
+    t = fx.tables(spark, sf)
+    pulled = written(pull.pull_all(t, _snapshot(spark, sf), fx.PACKAGE), "pulled")
+    day = F.make_dt_interval(days=F.lit(1))
+    moved = F.when(F.col("class_id") == "3-MEDIUM", F.col("modified") - day)
+    before = replace(t, methods=t.methods.withColumn("modified", moved.otherwise(F.col("modified"))))
+    kept = written(digests.pull_digests(before, pulled, fx.PACKAGE), "digests")
+    return digests.pull_changed_classes(t, _edited(pulled), kept, fx.PACKAGE)
+
+
+def _code(*columns, place):
+    """One number of a row's digest."""
+    parts = " || chr(31) || ".join(f"coalesce('=' || {c}::varchar, '')" for c in columns)
+    return f"('0x' || substr(md5({parts}), {place}, 8))::bigint"
+
+
+_DIGESTED = ("source_db", "class_id", "type", "short_name", "modified")
+
+
+@query(
+    "digest_tree",
+    f"""select case when grouping(class_id) = 1 then 'source' when grouping(short_name) = 1 then 'class'
+               else 'object' end as level, source_db, class_id, type, short_name,
+               count(*) as n, sum({_code(*_DIGESTED, place=1)})::bigint as low,
+               sum({_code(*_DIGESTED, place=9)})::bigint as high
+        from ({CATALOG4}) group by grouping sets ((source_db), (source_db, class_id),
+                                                  (source_db, class_id, type, short_name))""",
+)
+def digest_tree(spark, sf):
+    objects = catalog.catalog_objects(fx.tables(spark, sf), fx.PACKAGE)
+    return digests.digest_tree(objects, "modified")
+
+
 @query(
     "pull_last",
     _pulled(f"""select * from ({CATALOG4})
