@@ -76,3 +76,12 @@ CONTROL = _schema(
 )
 # Control rows of the polls that a fold holds.
 FOLDED = T.StructType([*CONTROL.fields, T.StructField("fold", STRING), T.StructField("fold_no", LONG)])
+DIARY_STATE = _schema(
+    source_db=STRING,
+    id=LONG,
+    action_time=TIME,
+    last_seq=LONG,
+    newest=_schema(time=TIME, seq=LONG, user_id=STRING),
+)
+# Segments of a diary's state that a fold holds.
+DIARY_COVERED = _schema(fold_no=LONG, fold=STRING, segment=STRING)

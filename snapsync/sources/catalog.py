@@ -36,7 +36,8 @@ class Tables:
     triggers(source_db, trigger_name, table_name, description, trigger_body),
     user_objects(source_db, object_name, object_type, timestamp),
     all_objects(source_db, object_name, object_type, last_ddl_time).
-    `line_ties` orders lines of equal number."""
+    `line_ties` orders lines of equal number. `method_state` and `criteria_state`, if given, are the
+    states of the diaries (plans/diary.py) and are read in their place."""
 
     methods: DataFrame
     lines: DataFrame
@@ -47,6 +48,8 @@ class Tables:
     user_objects: DataFrame
     all_objects: DataFrame | None = None
     line_ties: tuple = ()
+    method_state: DataFrame | None = None
+    criteria_state: DataFrame | None = None
 
 
 def catalog_objects(t: Tables, package_name: str | None = None) -> DataFrame:
@@ -93,20 +96,30 @@ def last_action(diary: DataFrame) -> DataFrame:
 
 def last_action_time(objects: DataFrame, diary: DataFrame) -> DataFrame:
     """Add action_time: the last diary time of each object, or its own modification time."""
-    return objects.join(last_action(diary), list(ID), "left").withColumn(
+    return _with_last_action(objects, last_action(diary))
+
+
+def _with_last_action(objects: DataFrame, actions: DataFrame) -> DataFrame:
+    return objects.join(actions, list(ID), "left").withColumn(
         "action_time", F.coalesce("action_time", "modified")
     )
 
 
-def _method_window(diary: DataFrame, methods: DataFrame, bounds: DataFrame) -> DataFrame:
+def _method_window(t: Tables, methods: DataFrame, bounds: DataFrame, few=False) -> DataFrame:
     """Add last, as_of and action_time.
 
     Diary entries before the earliest `last` cannot move a change into a window nor out of it, so
-    the diary is cut where it is read.
+    the diary is cut where it is read; with `few` methods also to these.
     """
     earliest = bounds.agg(F.min("last")).scalar()
-    recent = diary.where(F.col("time") >= earliest)
-    return last_action_time(with_bounds(methods, bounds), recent)
+    if t.method_state is not None:
+        actions = t.method_state.where(F.col("action_time") >= earliest).select(*ID, "action_time")
+    else:
+        diary = t.method_diary.where(F.col("time") >= earliest)
+        if few:
+            diary = diary.join(methods.select(*ID).distinct(), list(ID), "left_semi")
+        actions = last_action(diary)
+    return _with_last_action(with_bounds(methods, bounds), actions)
 
 
 def _moved_in_window() -> Column:
@@ -155,16 +168,14 @@ def _chosen(methods: DataFrame) -> DataFrame:
 def method_rows(t: Tables, bounds, allowed, settings=Settings()) -> DataFrame:
     """Method parts that moved in the window, above the floor, by a listed user."""
     methods = by_allow_list(_above_common_floor(t.methods, bounds, settings), allowed)
-    # Few methods are left, so the diary is cut to them before it is moved.
-    diary = t.method_diary.join(methods.select(*ID).distinct(), list(ID), "left_semi")
-    found = _method_window(diary, methods, bounds).where(_moved_in_window() & _floor(settings))
+    found = _method_window(t, methods, bounds, few=True).where(_moved_in_window() & _floor(settings))
     return with_method_texts(t, _chosen(found))
 
 
 def method_rows_or_folder(t, bounds, allowed, tree, settings=Settings()) -> DataFrame:
     """(window and floor and listed user) or named in the tree. Only sources with bounds count."""
     named = flagged(t.methods, folder_keys(tree, "METHOD"), NAME_KEY, "in_folder")
-    marked = with_allowed(_method_window(t.method_diary, named, bounds), allowed)
+    marked = with_allowed(_method_window(t, named, bounds), allowed)
     moved = _moved_in_window() & _floor(settings) & F.col("allowed")
     return with_method_texts(t, _chosen(marked.where(moved | F.col("in_folder"))))
 
@@ -188,16 +199,22 @@ def _views_above_floor(t: Tables, bounds: DataFrame, settings: Settings) -> Data
 
 
 def _with_actions(t: Tables, views: DataFrame, settings: Settings) -> DataFrame:
-    """Add action time and latest user, both out of one pass over the diary of these views."""
-    logged = F.col("action").isin(*settings.logged_actions)
-    diary = (
-        t.criteria_diary.join(views.select(*ID).distinct(), list(ID), "left_semi")
-        .groupBy(*ID)
-        .agg(
-            F.max("time").alias("action_date"),
-            F.max_by("user_id", F.when(logged, F.struct("time", "seq"))).alias("user_id"),
+    """Add action time and latest user, both out of one pass over the diary of these views, or out of
+    its state."""
+    if t.criteria_state is not None:
+        diary = t.criteria_state.select(
+            *ID, F.col("action_time").alias("action_date"), F.col("newest.user_id").alias("user_id")
+        )
+    else:
+        logged = F.col("action").isin(*settings.logged_actions)
+        diary = (
+            t.criteria_diary.join(views.select(*ID).distinct(), list(ID), "left_semi")
+            .groupBy(*ID)
+            .agg(
+                F.max("time").alias("action_date"),
+                F.max_by("user_id", F.when(logged, F.struct("time", "seq"))).alias("user_id"),
+            )
         )
-    )
     return (
         views.join(diary, list(ID), "left")
         .withColumn("action_date", F.coalesce("action_date", "modified"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapsync.functions.text import text_sha
 from snapsync.operators import changesets, diff
 from snapsync.operators.sizing import new_folder, written
-from snapsync.plans import changes, digests, history, poll, pull, store
+from snapsync.plans import changes, diary, digests, history, poll, pull, store
 from snapsync.plans.store import Store
 from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
@@ -130,6 +130,48 @@ def view_rows(spark, sf):
     return catalog.view_rows(*_inputs(spark, sf))
 
 
+def _diary_stores(spark, sf):
+    """States of both diaries after three batches, of which each goes on within the one before."""
+    stores = []
+    folder = new_folder(spark, "diary")
+    for name, entries in (("methods", fx.method_diary(spark, sf)), ("views", fx.criteria_diary(spark, sf))):
+        kept = diary.DiaryStore(f"{folder}/{name}").create(spark)
+        day = F.dayofmonth("time")
+        for first, last in ((1, 12), (10, 22), (20, 31)):
+            kept.add(entries.where(day.between(first, last)))
+        kept.fold(spark)
+        stores.append(kept)
+    return stores
+
+
+def _with_states(spark, sf):
+    """The inputs with the states in the diaries' place; the diaries themselves are empty."""
+    t, bounds, allowed = _inputs(spark, sf)
+    methods, views = _diary_stores(spark, sf)
+    t = replace(t, method_diary=t.method_diary.limit(0), criteria_diary=t.criteria_diary.limit(0))
+    return diary.with_diary_states(t, methods, views), bounds, allowed
+
+
+@query(
+    "latest_user_incremental",
+    """select source_db, id,
+              regexp_replace(arg_max(user_id, (time, seq)), '.*\\.(.*)', '\\1') as user_modified
+       from fx_criteria_diary where action in ('INSERTED', 'UPDATED') group by 1, 2""",
+)
+def latest_user_incremental(spark, sf):
+    return diary.latest_users(_diary_stores(spark, sf)[1].state(spark))
+
+
+@query("view_rows_by_state", VIEW_ROWS)
+def view_rows_by_state(spark, sf):
+    return catalog.view_rows(*_with_states(spark, sf))
+
+
+@query("method_parts_by_state", METHOD_ROWS)
+def method_parts_by_state(spark, sf):
+    return catalog.method_rows(*_with_states(spark, sf))
+
+
 @query("trigger_rows", TRIGGER_ROWS)
 def trigger_rows(spark, sf):
     return catalog.trigger_rows(fx.tables(spark, sf), fx.bounds(spark, sf))
