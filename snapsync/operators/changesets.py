@@ -4,7 +4,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from snapsync.functions.times import author_time
 from snapsync.operators.assembly import joined_in_order
-from snapsync.operators.ordering import number_parts, number_runs
+from snapsync.operators.ordering import in_one_task, number_parts, number_runs
+from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 
 OBJECT = ("class_id", "short_name")
@@ -26,6 +27,17 @@ def author_islands(
     return number_runs(rows, list(groups), order, F.col(author), alias, how)
 
 
+def changeset_objects(rows: DataFrame, groups, how="ranges") -> DataFrame:
+    """One row per group and object, with what change sets and messages need of its rows. Written where
+    the ordered pass follows, which reads its input twice."""
+    objects = rows.groupBy(*groups, *OBJECT).agg(
+        F.min("user_modified").alias("_author"),
+        F.min("modified").alias("_time"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    return objects if in_one_task(how) else written(objects, "objects")
+
+
 def changeset_messages(
     objects: DataFrame, groups, settings: Settings = Settings(), how="ranges"
 ) -> DataFrame:
@@ -36,7 +48,10 @@ def changeset_messages(
     without any class has no message.
     """
     groups = list(groups)
-    distinct = objects.select(*groups, *OBJECT).distinct()
+    return _messages(objects.select(*groups, *OBJECT).distinct(), groups, settings, how)
+
+
+def _messages(distinct: DataFrame, groups: list, settings: Settings, how) -> DataFrame:
     order = ["class_id", F.asc_nulls_first("short_name")]
     named = distinct.where(F.col("class_id").isNotNull())
     parts = number_parts(named, groups, order, settings.names_per_message, "message_no", how)
@@ -66,13 +81,11 @@ def changesets(
 ) -> DataFrame:
     """One row per change set, from rows that carry their island number; `changeset_messages` of the
     same groups lists its objects in `n_messages` messages."""
-    groups = list(groups)
+    return _facts(changeset_objects(islands, list(groups), "window"), list(groups), shift_days, settings)
+
+
+def _facts(objects: DataFrame, groups: list, shift_days, settings: Settings) -> DataFrame:
     shift = F.lit(0) if shift_days is None else shift_days
-    objects = islands.groupBy(*groups, *OBJECT).agg(
-        F.min("user_modified").alias("_author"),
-        F.min("modified").alias("_time"),
-        F.count(F.lit(1)).alias("_n"),
-    )
     facts = objects.groupBy(*groups).agg(
         F.min("_author").alias("_author"),
         F.min("_time").alias("_time"),
@@ -89,3 +102,17 @@ def changesets(
         F.col("_n").alias("n_rows"),
         F.ceil(F.col("_named") / settings.names_per_message).cast("bigint").alias("n_messages"),
     )
+
+
+def changesets_and_messages(
+    islands: DataFrame,
+    groups=("source_db", "changeset_id"),
+    shift_days: Column | None = None,
+    settings: Settings = Settings(),
+    how="ranges",
+) -> tuple[DataFrame, DataFrame]:
+    """Change sets and their messages out of one pass over the rows, which are summed up by object."""
+    groups = list(groups)
+    objects = changeset_objects(islands, groups, how)
+    keyed = objects.select(*groups, *OBJECT)
+    return _facts(objects, groups, shift_days, settings), _messages(keyed, groups, settings, how)

@@ -13,10 +13,10 @@ from snapsync import schemas
 from snapsync.functions.names import object_path
 from snapsync.functions.text import text_sha
 from snapsync.functions.times import clock_shift, days, epoch_name
-from snapsync.operators.changesets import author_islands, changeset_messages, changesets
+from snapsync.operators.changesets import author_islands, changesets_and_messages
 from snapsync.operators.diff import changed_vs_baseline
 from snapsync.operators.joins import flagged, join_null_safe, known_size
-from snapsync.operators.ordering import latest_row
+from snapsync.operators.ordering import in_one_task, latest_row
 from snapsync.operators.sizing import written
 from snapsync.plans.changes import changes_all, changes_or_folder
 from snapsync.plans.store import TABLES, Conflict, Store, epoch_snapshot
@@ -85,11 +85,11 @@ def poll_changesets(
     """Change sets, and their messages, of a feed against a baseline (source_db, path, text_sha):
     newest row per path, without the unchanged ones, in runs of one author."""
     changed = changed_vs_baseline(newest_per_path(rows), baseline, PATH).drop("text")
+    if not in_one_task(how):
+        # The ordered pass reads its input twice, and the comparison is dear.
+        changed = written(changed, "changed")
     islands = author_islands(changed, how=how)
-    return (
-        changesets(islands, shift_days=shift_days, settings=settings),
-        changeset_messages(islands, ("source_db", "changeset_id"), settings, how),
-    )
+    return changesets_and_messages(islands, shift_days=shift_days, settings=settings, how=how)
 
 
 def capture(
@@ -165,8 +165,8 @@ def _capture_once(rows, states, store, known, label, settings, how, listing) ->
     shift = clock_shift(F.col("local_time"), F.col("as_of"))
     with_shift = islands.join(states.select("source_db", shift.alias("_shift")), "source_db")
     groups = ("source_db", "epoch", "changeset_id", "_shift")
-    store.append("changesets", changesets(with_shift, groups, F.col("_shift"), settings), poll)
-    messages = changeset_messages(islands, ("source_db", "epoch", "changeset_id"), settings, how)
+    sets, messages = changesets_and_messages(with_shift, groups, F.col("_shift"), settings, how)
+    store.append("changesets", sets, poll)
     store.append("messages", messages, poll)
     before = store.last_control(spark, settings, known).select("source_db", "high_water")
     control = join_null_safe(states, before, ["source_db"], "left").select(

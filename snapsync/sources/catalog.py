@@ -307,25 +307,52 @@ def max_modified(t: Tables) -> DataFrame:
     )
 
 
+def line_order(t: Tables) -> list:
+    """Total order of source lines: by class, name, type and line, and then by what tells equal ones
+    apart. Lines that agree in all of it are the same."""
+    return ["class_id", "short_name", "type", "line", "source_db", "id", *t.line_ties, "text"]
+
+
+def methods_lines(t: Tables) -> DataFrame:
+    """Every source line beside its method."""
+    return t.lines.join(t.methods, list(ID))
+
+
 def source_lines(t: Tables) -> DataFrame:
-    """Every source line beside its method, in class, name, type and line order."""
+    """Every source line beside its method, in `line_order`."""
+    return methods_lines(t).orderBy(*line_order(t)).select(
+        "source_db",
+        "class_id",
+        "short_name",
+        "package_name",
+        "modified",
+        "user_modified",
+        "type",
+        "line",
+        "text",
+    )
+
+
+def line_counts(t: Tables) -> DataFrame:
+    """Lines per method and part; they are counted by key before the methods are joined."""
+    counts = t.lines.groupBy(*ID, "type").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        t.lines.join(t.methods, list(ID))
-        .select(
-            "source_db",
-            "class_id",
-            "short_name",
-            "package_name",
-            "modified",
-            "user_modified",
-            "type",
-            "line",
-            "text",
-        )
-        .orderBy("class_id", "short_name", "type", "line")
+        counts.join(t.methods, list(ID))
+        .groupBy("class_id", "short_name", "package_name", "modified", "user_modified", "type")
+        .agg(F.sum("_n").alias("n_lines"))
     )
 
 
+def audit_users(*diaries: DataFrame, user="user_id") -> DataFrame:
+    """Distinct users of several audit diaries, without their domains, in order."""
+    users = [strip_domain(F.col(user)).alias(user)]
+    found = diaries[0].select(*users).distinct()
+    for diary in diaries[1:]:
+        # Each diary folds on its own before they are put together.
+        found = found.unionByName(diary.select(*users).distinct())
+    return found.distinct().orderBy(user)
+
+
 def recent_users(t: Tables, as_of: Column, n_days=30) -> DataFrame:
     return (
         t.methods.where(F.col("modified") >= as_of - days(n_days))

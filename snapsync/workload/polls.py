@@ -473,7 +473,7 @@ _ISLANDS = """
 
 @query("author_islands", f"select * exclude (starts) from ({_ISLANDS.format(feed='fx_feed')})")
 def author_islands(spark, sf):
-    return changesets.author_islands(fx.feed(spark, sf))
+    return changesets.author_islands(fx.feed(spark, sf), how="window")
 
 
 @query(
@@ -519,10 +519,7 @@ def _with_messages(sets, messages, on=("source_db", "changeset_id")):
 @query("changesets", "with " + _sets("fx_feed"))
 def change_sets(spark, sf):
     islands = changesets.author_islands(fx.feed(spark, sf))
-    on = ("source_db", "changeset_id")
-    return _with_messages(
-        changesets.changesets(islands), changesets.changeset_messages(islands, on)
-    )
+    return _with_messages(*changesets.changesets_and_messages(islands))
 
 
 @query("changesets_in_parts", "with " + _sets("fx_feed", per_message=1))
@@ -530,11 +527,7 @@ def change_sets_in_parts(spark, sf):
     """Messages that list one object each: the sets stay one row each."""
     settings = replace(Settings(), names_per_message=1)
     islands = changesets.author_islands(fx.feed(spark, sf))
-    on = ("source_db", "changeset_id")
-    return _with_messages(
-        changesets.changesets(islands, settings=settings),
-        changesets.changeset_messages(islands, on, settings),
-    )
+    return _with_messages(*changesets.changesets_and_messages(islands, settings=settings))
 
 
 _CHANGED = """

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from snapsync.functions.names import part_types
-from snapsync.functions.text import nonblank, strip_domain
+from snapsync.functions.text import nonblank
 from snapsync.functions.times import days
 from snapsync.operators import assembly, changesets, diff, joins, predicates
 from snapsync.operators.ordering import latest_row, number_rows
@@ -367,14 +367,7 @@ def distinct_keys(spark, sf):
        group by 1, 2, 3, 4, 5, 6""",
 )
 def lines_per_part(spark, sf):
-    """Line counts; the lines are counted by method and part before the method is joined."""
-    t = fx.tables(spark, sf)
-    counts = t.lines.groupBy("source_db", "id", "type").agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.join(t.methods, ["source_db", "id"])
-        .groupBy("class_id", "short_name", "package_name", "modified", "user_modified", "type")
-        .agg(F.sum("_n").alias("n_lines"))
-    )
+    return catalog.line_counts(fx.tables(spark, sf))
 
 
 @query(
@@ -428,20 +421,63 @@ def sorted_objects(spark, sf):
 )
 def all_users(spark, sf):
     """Users of several audit diaries, without their domains."""
-    diaries = [
-        fx.criteria_diary(spark, sf).select("user_id"),
-        fx.table(spark, sf, "customer").select(F.concat_ws(".", "c_mktsegment", "c_name")),
-        fx.table(spark, sf, "supplier").select(F.concat(F.lit("X.Y."), "s_name")),
-        fx.table(spark, sf, "nation").select("n_name"),
-    ]
-    users = diaries[0]
-    for diary in diaries[1:]:
-        users = users.union(diary)
-    return users.select(strip_domain(F.col("user_id")).alias("user_id")).distinct().orderBy(
-        "user_id"
+    def users(name, user):
+        return fx.table(spark, sf, name).select(user.alias("user_id"))
+
+    return catalog.audit_users(
+        fx.criteria_diary(spark, sf),
+        users("customer", F.concat_ws(".", "c_mktsegment", "c_name")),
+        users("supplier", F.concat(F.lit("X.Y."), "s_name")),
+        users("nation", F.col("n_name")),
     )
 
 
+_BY_LINE = (
+    "class_id nulls first, short_name nulls first, type nulls first, line nulls first, m.source_db, m.id, "
+    "tie1 nulls first, tie2 nulls first, text nulls first"
+)
+
+
+@query(
+    "source_lines_in_order",
+    f"""select m.source_db, class_id, short_name, type, line, text,
+               row_number() over (order by {_BY_LINE}) as place
+        from fx_lines l join fx_methods m on l.source_db = m.source_db and l.id = m.id
+        order by place""",
+)
+def source_lines_in_order(spark, sf):
+    """The order of `source_lines` as a column."""
+    t = fx.tables(spark, sf)
+    found = _numbered(catalog.methods_lines(t), *catalog.line_order(t))
+    return found.select("source_db", "class_id", "short_name", "type", "line", "text", "place")
+
+
+@query(
+    "recent_users_in_order",
+    """select user_modified, row_number() over (order by user_modified nulls first) as place
+       from (select distinct user_modified from fx_methods
+             where modified >= (select max(as_of) from fx_now) - to_days(30)) order by place""",
+)
+def recent_users_in_order(spark, sf):
+    users = catalog.recent_users(fx.tables(spark, sf), _time_of_sources(spark, sf))
+    return _numbered(users, "user_modified")
+
+
+@query(
+    "floor_at_source_times",
+    """select m.source_db, id, modified from fx_methods m join (
+           select source_db, as_of - to_days(9 * substr(source_db, 3)::int) as as_of from fx_now) n
+       on m.source_db = n.source_db where modified >= as_of - to_days(30)""",
+)
+def floor_at_source_times(spark, sf):
+    """The recency floor of sources whose times lie days apart: more rows than one floor gives."""
+    behind = 9 * F.substr("source_db", F.lit(3)).cast("int")
+    bounds = fx.bounds(spark, sf).withColumn("as_of", F.col("as_of") - days(behind))
+    rows = joins.with_bounds(fx.methods(spark, sf), bounds)
+    floor = predicates.above_floor(F.col("modified"), F.col("as_of"), S.floor_days)
+    return rows.where(floor).select("source_db", "id", "modified")
+
+
 @query(
     "floor_per_source",
     """select m.source_db, id, modified from fx_methods m join fx_bounds b
