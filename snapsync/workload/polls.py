@@ -516,10 +516,20 @@ def _with_messages(sets, messages, on=("source_db", "changeset_id")):
     return sets.join(messages, list(on))
 
 
+def _change_sets(spark, sf, how):
+    islands = changesets.author_islands(fx.feed(spark, sf), how=how)
+    return _with_messages(*changesets.changesets_and_messages(islands, how=how))
+
+
 @query("changesets", "with " + _sets("fx_feed"))
 def change_sets(spark, sf):
-    islands = changesets.author_islands(fx.feed(spark, sf))
-    return _with_messages(*changesets.changesets_and_messages(islands))
+    return _change_sets(spark, sf, "window")
+
+
+@query("changesets_ranges", "with " + _sets("fx_feed"))
+def change_sets_ranges(spark, sf):
+    """For sources of any size."""
+    return _change_sets(spark, sf, "ranges")
 
 
 @query("changesets_in_parts", "with " + _sets("fx_feed", per_message=1))
