@@ -1,9 +1,11 @@
 import itertools
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from snapsync.llm import packing
@@ -85,3 +87,34 @@ def test_empty_null_ids_and_repeated_rows(documents):
     rows = packing.pack(documents([(None, "a b"), (7, "c"), (7, "c")]), PATH).collect()
     assert sum(r.length for r in rows if r.doc_id == 7) == 4
     assert sum(r.length for r in rows if r.doc_id is None) == 3
+
+
+def test_ids_of_the_file(given):
+    """Every kind of character beside letters, digits, spaces and itself, and the given texts."""
+    tokenizer, tokens = Tokenizer.from_file(PATH), packing.Tokens(PATH)
+    assert tokens.fast
+    odd = (chr(c) for c in range(0x30000) if c % 7 == 0 and not 0xD800 <= c < 0xE000)
+    texts = [f"a{x}b {x}1{x} {x}{x}  x{x}.{x}\n{x}" for x in odd]
+    texts += [t or "" for t in ODD] + ["x" * 100_000, " " * 3000, "<|endoftext|>", "a<|endoftext|> b"]
+    texts += [r["text"] or "" for r in pq.read_table(f"{given}/documents.parquet").to_pylist()]
+    for text, (ids, _) in zip(texts, tokens.of(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    """With a space before each text the cutting rules don't hold."""
+    settings = json.loads(Tokenizer.from_file(PATH).to_str())
+    settings["pre_tokenizer"]["add_prefix_space"] = True
+    path = str(tmp_path / "other.json")
+    Tokenizer.from_str(json.dumps(settings)).save(path)
+    other = Tokenizer.from_file(path)
+    texts = ["one two, three.", "x y"]
+    found = [i.tolist() for i, _ in packing.Tokens(path).of(texts)]
+    assert not packing.Tokens(path).fast
+    assert found == [other.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[0] != ids_of(texts[0])[:-1]
+    # so it is with merged tokens that are not numbered in the order of their merges
+    settings = json.loads(Tokenizer.from_file(PATH).to_str())
+    assert packing._byte_ranks(settings)
+    settings["model"]["merges"] = settings["model"]["merges"][::-1]
+    assert packing._byte_ranks(settings) is None
