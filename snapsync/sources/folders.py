@@ -22,6 +22,11 @@ def children(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     return [(s.getPath().getName(), s.getModificationTime()) for s in system.listStatus(path)]
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = _path(spark, folder)
+    return _system(spark, path).exists(path)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path = _path(spark, folder)
     _system(spark, path).delete(path, True)

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from snapsync.functions.names import METHOD_PARTS, object_path
-from snapsync.functions.text import line_slice, normalized_text
+from snapsync.functions.text import line_slice, normalized_text, text_sha
 from snapsync.functions.times import parse_marker
 from snapsync.operators import assembly, diff, predicates
 from snapsync.operators.ordering import latest_row
 from snapsync.plans import pull
 from snapsync.sources import catalog, tree
 from snapsync.sources.database import bound_query
+from snapsync.sources.watch import listed_changes
 from snapsync.workload import fixtures as fx
 from snapsync.workload.registry import query
 
@@ -365,3 +366,40 @@ def select_by_list(spark, sf):
 )
 def parse_object_list(spark, sf):
     return predicates.parse_object_list(object_lists(spark, sf), "list")
+
+
+# Times and sizes of the files, as of two looks: what the second one misses, has anew, or has with a later time.
+_LOOKS = """files as (
+        select source_db, folder, file, timestamp '2024-01-01' as modified, length(text)::bigint as size,
+               sha256(text) as text_sha from fx_files),
+    known as (select * from files where size % 11 <> 0 or size is null),
+    listed as (select source_db, folder, file, case when size % 5 = 0 then modified + to_days(1)
+                      else modified end as modified, size from files where size % 7 <> 0 or size is null)"""
+
+
+@query(
+    "tree_changes",
+    f"""with {_LOOKS}
+        select coalesce(n.source_db, o.source_db) as source_db, coalesce(n.folder, o.folder) as folder,
+               coalesce(n.file, o.file) as file, n.modified, n.size, o.text_sha as known_sha,
+               case when o.file is null then 'added' when n.file is null then 'deleted'
+               else 'changed' end as change
+        from listed n full join known o
+          on n.source_db = o.source_db and n.folder = o.folder and n.file = o.file
+        where o.file is null or n.file is null or n.modified <> o.modified
+           or n.size is distinct from o.size""",
+)
+def tree_changes(spark, sf):
+    size = F.col("size")
+    files = fx.files(spark, sf).select(
+        "source_db",
+        "folder",
+        "file",
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("modified"),
+        F.length("text").cast("long").alias("size"),
+        text_sha(F.col("text")).alias("text_sha"),
+    )
+    later = F.col("modified") + F.make_dt_interval(days=F.when(size % 5 == 0, 1).otherwise(0))
+    listed = files.where((size % 7 != 0) | size.isNull()).withColumn("modified", later)
+    known = files.where((size % 11 != 0) | size.isNull())
+    return listed_changes(known, listed, ("source_db", "folder", "file"))
