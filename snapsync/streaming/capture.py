@@ -28,11 +28,9 @@ def capture_stream(
     others. It is known by the id that its checkpoint gave the query, so that other streams into the store, or one
     with a new checkpoint, are not taken for it. A mark never moves back.
     """
-    started: Future = Future()
 
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
+    def one_batch(batch: DataFrame, label: str) -> None:
         spark = batch.sparkSession
-        label = f"stream-{started.result()}-{batch_id:010d}"
         committed = store.state(spark)
         done = store.committed_sources(spark, label, committed)
         rows = written(join_null_safe(batch, done, ["source_db"], "left_anti"), "batch")
@@ -55,6 +53,17 @@ def capture_stream(
         )
         capture(rows, written(states, "states"), store, label, settings, how)
 
+    return by_batches(rows, checkpoint, one_batch, interval)
+
+
+def by_batches(rows: DataFrame, checkpoint: str, work, interval: str | None = None) -> StreamingQuery:
+    """Call `work` with each micro-batch and its label. The label has the id that the checkpoint gave the
+    query, so that a batch that comes again has the same one, and no other stream has."""
+    started: Future = Future()
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        work(batch, f"stream-{started.result()}-{batch_id:010d}")
+
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one_batch)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     try:

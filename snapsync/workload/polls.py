@@ -12,6 +12,7 @@ from snapsync.plans.store import Store
 from snapsync.settings import Settings
 from snapsync.sources import catalog, tree
 from snapsync.streaming.capture import capture_stream, first_seen
+from snapsync.streaming.late import LateRows, late_stream
 from snapsync.workload import fixtures as fx
 from snapsync.workload.registry import query
 from snapsync.workload.scans import METHOD_TEXTS, CATALOG4
@@ -638,6 +639,31 @@ def late_rows(spark, sf):
     return poll.late_rows(rows, bounds, known, keys).select(*keys)
 
 
+@query(
+    "stream_late_rows",
+    """select distinct f.source_db, f.path, f.modified from fx_feed f
+       join (select n.source_db, coalesce(high_water, as_of - to_days(7)) as last
+             from fx_now n left join fx_control c on n.source_db = c.source_db) b
+         on f.source_db = b.source_db
+       where f.modified < last and not exists (
+           select 1 from fx_versions v where v.epoch = 'old' and v.source_db = f.source_db
+             and v.path = f.path and v.modified = f.modified)""",
+)
+def stream_late_rows(spark, sf):
+    """The same rows out of a stream that brings each row twice, kept for the next poll."""
+    folder, keys = new_folder(spark, "late"), ("source_db", "path", "modified")
+    stream = _event_stream(spark, sf).select(*keys)
+    kept = LateRows(folder, stream.schema, keys)
+    late_stream(
+        stream.union(_event_stream(spark, sf).select(*keys)),
+        kept,
+        lambda: poll.poll_bounds(fx.now(spark, sf), fx.control(spark, sf)),
+        lambda: fx.versions(spark, sf).where("epoch = 'old'"),
+        f"{folder}/checkpoint",
+    ).awaitTermination()
+    return kept.rows(spark, kept.waiting(spark))
+
+
 # --- earlier states -----------------------------------------------------------------------------
 
 _INTERVALS = """
