@@ -13,14 +13,14 @@ def jdbc_scan(
     options: dict,
     query: str | None = None,
     table: str | None = None,
-    split: dict | None = None,
+    split: dict | list | None = None,
     empty_as_null=False,
     single_task=False,
     fetch_size=10_000,
 ) -> DataFrame:
-    """Read a query or a table. `split` (partitionColumn, lowerBound, upperBound, numPartitions)
-    makes the read parallel; without it the database sends all rows to one task, which must be asked
-    for by `single_task`.
+    """Read a query or a table. `split` makes the read parallel: either predicates, one per task
+    (`splits.plan_splits`), or partitionColumn, lowerBound, upperBound, numPartitions. Without it the
+    database sends all rows to one task, which must be asked for by `single_task`.
 
     The statement is logged, without the options, when the database refuses it.
     """
@@ -29,13 +29,19 @@ def jdbc_scan(
     if not split and not single_task:
         raise ValueError("give split, or single_task=True for a small result")
     reader = spark.read.format("jdbc").options(**{"fetchsize": str(fetch_size), **options})
-    if split:
+    by_predicates = split if isinstance(split, list) else None
+    if split and by_predicates is None:
         # The JDBC source splits tables only; a query becomes a derived table.
         reader = reader.options(**split).option("dbtable", table or f"({query}) q")
-    else:
+    elif not split:
         reader = reader.option("query", query) if query else reader.option("dbtable", table)
     try:
-        df = reader.load()
+        if by_predicates:
+            source = table or f"({query}) q"
+            properties = {"fetchsize": str(fetch_size), **options}
+            df = spark.read.jdbc(properties.pop("url"), source, predicates=by_predicates, properties=properties)
+        else:
+            df = reader.load()
     except Exception:
         logger.exception("statement failed: %s", query or table)
         raise

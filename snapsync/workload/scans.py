@@ -8,8 +8,9 @@ from snapsync.functions.times import parse_marker
 from snapsync.operators import assembly, diff, predicates
 from snapsync.operators.ordering import latest_row
 from snapsync.plans import pull
-from snapsync.sources import catalog, tree
+from snapsync.sources import catalog, splits, tree
 from snapsync.sources.database import bound_query
+from snapsync.sources.splits import plan_splits
 from snapsync.sources.watch import listed_changes
 from snapsync.workload import fixtures as fx
 from snapsync.workload.registry import query
@@ -403,3 +404,24 @@ def tree_changes(spark, sf):
     listed = files.where((size % 7 != 0) | size.isNull()).withColumn("modified", later)
     known = files.where((size % 11 != 0) | size.isNull())
     return listed_changes(known, listed, ("source_db", "folder", "file"))
+
+
+@query(
+    "scan_in_splits",
+    """select l_returnflag, l_suppkey, count(*) as n, sum(l_orderkey)::bigint as orders,
+              min(l_shipdate) as first_shipped
+       from lineitem group by all""",
+)
+def scan_in_splits(spark, sf):
+    """Line items read in splits that a sketch of their keys gives, each row once."""
+    items = fx.table(spark, sf, "lineitem")
+    planned = plan_splits(items.select("l_suppkey", "l_orderkey"), "l_suppkey", 8, "l_orderkey")
+    return (
+        splits.scan_in_splits(items, planned)
+        .groupBy("l_returnflag", "l_suppkey")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("l_orderkey").alias("orders"),
+            F.min("l_shipdate").alias("first_shipped"),
+        )
+    )
