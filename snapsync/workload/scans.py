@@ -7,13 +7,15 @@ from snapsync.functions.text import line_slice, normalized_text, text_sha
 from snapsync.functions.times import parse_marker
 from snapsync.operators import assembly, diff, predicates
 from snapsync.operators.ordering import latest_row
+from snapsync.operators.sizing import new_folder, written
 from snapsync.plans import pull
+from snapsync.plans.publish import Ledger, ParquetSink
 from snapsync.sources import catalog, splits, tree
 from snapsync.sources.database import bound_query
 from snapsync.sources.splits import plan_splits
 from snapsync.sources.watch import listed_changes
 from snapsync.workload import fixtures as fx
-from snapsync.workload.registry import query
+from snapsync.workload.registry import SQL, query
 
 CATALOG3 = """
     select source_db, class_id, short_name, modified, 'METHOD' as type from fx_methods
@@ -347,6 +349,29 @@ def publish_rows(spark, sf):
     return pull.publish_rows(files, object_lists(spark, sf), "list")
 
 
+@query(
+    "publish_twice",
+    f"""with first as ({SQL["publish_rows"].replace("with parts as (", "select * from (with parts as (")}))
+        select 1::bigint as publish_no, * from first
+        union all
+        select 2, source_db, class_id, short_name, {", ".join(
+            "body || '!' as body" if part == "body" else part for part in METHOD_PARTS)}
+        from first where class_id like '1%' and body is not null""",
+)
+def publish_twice(spark, sf):
+    """What the staging table holds after three publishes: all rows, then all rows of which some bodies
+    are others, then the same once more."""
+    first = written(publish_rows(spark, sf), "rows")
+    other = F.when(F.col("class_id").startswith("1"), F.concat("body", F.lit("!"))).otherwise(F.col("body"))
+    second = first.withColumn("body", other)
+    folder = new_folder(spark, "publish")
+    ledger = Ledger(f"{folder}/ledger", first.schema)
+    sink = ParquetSink(f"{folder}/staging", ledger.schema)
+    for rows in (first, second, second):
+        ledger.publish(rows, sink)
+    return sink.rows(spark).drop("publish_id", "row_sha")
+
+
 @query(
     "select_by_list",
     f"""select c.* from ({CATALOG3}) c
