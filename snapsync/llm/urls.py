@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from .common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS = 0.85, 8
+DAMPING = 0.85
+# No score is further than this from its limit.
+TOLERANCE = 1e-4
 # A host is blocked from the distrust on that half of its pages being blocked would give it.
 BLOCKED_FROM = (1 - DAMPING) * 0.5
 SALTS = 16
+TRUST, DISTRUST = "trust", "distrust"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -42,30 +45,38 @@ def rule_for(rules, host, path):
     return found
 
 
-def spread(seeds: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
-    """Personalised PageRank: (host, score) from (host, seed) over (source, target, weight), the
-    weights of a source adding up to 1. A hub's links are dealt out by a salt."""
+def spread(
+    seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, rounds: int | None = None
+) -> DataFrame:
+    """Personalised PageRank: (kind, host, score) from (kind, host, seed) over (kind, source, target,
+    weight), the weights of a source adding up to 1 for each kind. A hub's links are dealt out by a salt.
+
+    Each round moves on what the round before it added. A round passes on at most `DAMPING` of what came
+    in, so all later rounds together add at most DAMPING / (1 - DAMPING) of its sum to any score: the
+    rounds end when that is below `tolerance` (or after `rounds`, if given).
+    """
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = written(
         edges.withColumn("salt", F.pmod(F.xxhash64("target"), F.lit(SALTS)).cast("int"))
     )
-    scores = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-    if salted.isEmpty():
-        return scores
-    for _ in range(rounds):
-        moved = (
-            scores.where("score > 0")
-            .withColumn("salt", salts)
+    key = ["kind", "host"]
+    added = written(seeds.select(*key, (F.col("seed") * (1 - DAMPING)).alias("score")).where("score > 0"))
+    found, n = [added], 0
+    while rounds is None or n < rounds:
+        moving = added.agg(F.sum("score")).first()[0] or 0.0
+        if moving * DAMPING / (1 - DAMPING) < tolerance:
+            break
+        added = written(
+            added.withColumn("salt", salts)
             .withColumnRenamed("host", "source")
-            .join(salted, ["source", "salt"])
-            .groupBy(F.col("target").alias("host"))
+            .join(salted, ["kind", "source", "salt"])
+            .groupBy("kind", F.col("target").alias("host"))
             .agg((F.sum(F.col("score") * F.col("weight")) * DAMPING).alias("score"))
         )
-        own = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-        scores = written(
-            own.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score"))
-        )
-    return scores
+        found, n = [*found, added], n + 1
+    folders = {path.rpartition("/")[0] for df in found for path in df.inputFiles()}
+    every = seeds.sparkSession.read.schema(added.schema).parquet(*folders)
+    return every.groupBy(*key).agg(F.sum("score").alias("score"))
 
 
 def weighted(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -80,7 +91,8 @@ def weighted(edges: DataFrame, source: str, target: str) -> DataFrame:
 def filter_urls(
     pages: DataFrame,
     rules: list[tuple[str, str]],
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
+    rounds: int | None = None,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -89,7 +101,7 @@ def filter_urls(
     `distrust`. `rules` holds ('allow' or 'block', 'host/path') pairs.
 
     A null url, or one without `://`, has an empty host and path; an empty host takes no part in the
-    graph and is allowed. Null html has no links. Ids may be null or repeat. Without links between
+    graph and is allowed. Null html has no links. Scores are within `tolerance` of their limits. Ids may be null or repeat. Without links between
     hosts the scores are those of the seeds.
     """
     url = F.col(f"`{url_col}`").cast("string")
@@ -116,21 +128,20 @@ def filter_urls(
         .groupBy("page_host", "link_host")
         .agg(F.count("*").alias("n"))
     )
-    trust = spread(
-        hosts.select("host", F.col("allowed").alias("seed")),
-        weighted(edges, "page_host", "link_host"),
-        rounds,
+    seeds = hosts.select(
+        "host",
+        F.stack(F.lit(2), F.lit(TRUST), F.col("allowed"), F.lit(DISTRUST), F.col("blocked")).alias("kind", "seed"),
     )
-    distrust = spread(
-        hosts.select("host", F.col("blocked").alias("seed")),
-        weighted(edges, "link_host", "page_host"),
-        rounds,
+    onward = weighted(edges, "page_host", "link_host").withColumn("kind", F.lit(TRUST))
+    back = weighted(edges, "link_host", "page_host").withColumn("kind", F.lit(DISTRUST))
+    spread_scores = spread(seeds, onward.unionByName(back), tolerance, rounds)
+    totals = spread_scores.groupBy("host").agg(
+        *[F.sum(F.when(F.col("kind") == k, F.col("score"))).alias(k) for k in (TRUST, DISTRUST)]
     )
     scores = (
         hosts.select("host")
-        .join(trust.withColumnRenamed("score", "trust"), "host", "left")
-        .join(distrust.withColumnRenamed("score", "distrust"), "host", "left")
-        .fillna(0.0, ["trust", "distrust"])
+        .join(totals, "host", "left")
+        .fillna(0.0, [TRUST, DISTRUST])
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     blocked = (F.col("distrust") >= BLOCKED_FROM) & (F.col("distrust") > F.col("trust"))

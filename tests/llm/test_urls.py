@@ -49,6 +49,21 @@ def test_hosts_paths_and_rules(pages):
     assert urls.filter_urls(pages([]), URL_RULES).count() == 0
 
 
+def test_rings_of_links_are_followed_to_the_end(pages):
+    """Six hosts link to a blocked one; one of them is in a ring with another host, where distrust adds up."""
+    links = {f"h{i}.com": ["x.net"] for i in range(5)} | {"a.com": ["x.net", "b.com"], "b.com": ["a.com"], "x.net": []}
+    rows = [
+        (i, f"http://{host}/fr/", "".join(f'<a href="//{t}/">' for t in targets), 0, 0)
+        for i, (host, targets) in enumerate(links.items())
+    ]
+    found = {r.host: r for r in urls.filter_urls(pages(rows), URL_RULES).collect()}
+    # Distrust of a.com: its share of x.net's, and what comes round by b.com.
+    want = 0.15 * 0.85 / 6 / (1 - 0.85**2)
+    assert abs(found["a.com"].distrust - want) < urls.TOLERANCE
+    assert found["a.com"].distrust >= urls.BLOCKED_FROM and found["a.com"].verdict == "block"
+    assert found["h0.com"].verdict == "allow"
+
+
 def test_trust_is_the_personalised_rank(pages):
     links = {
         "a.net": ["b.com", "c.com", "c.com"], "b.com": ["a.net", "x.org"], "c.com": ["x.org"],
