@@ -21,8 +21,9 @@ from .common import id_and_text
 BLOCK = 4096
 LEVEL = 1
 FEATURES = 7
-# Bounds of the fit: labelled rows of each class, blocks of a text, bytes of a dictionary.
-ROWS_PER_CLASS, BLOCKS_PER_TEXT, DICTIONARY_BYTES = 2500, 4, 110_000
+# Bounds of the fit: labelled rows of each class, blocks of a text, bytes of a dictionary and, at least, of
+# a piece of a block in it.
+ROWS_PER_CLASS, BLOCKS_PER_TEXT, DICTIONARY_BYTES, PIECE = 2500, 4, 110_000, 64
 
 
 def _shapes() -> bytes:
@@ -132,24 +133,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60)
     return w
 
 
-def dictionary_of(texts: list[bytes], limit: int) -> bytes:
+def dictionary_of(blocks: list[bytes], limit: int) -> bytes:
     """A dictionary of about `limit` bytes: zstandard's trained one where it can be trained and,
-    before it, evenly taken pieces of all texts."""
-    pieces = [t[:BLOCK] for t in texts if t]
-    if not pieces:
+    before it, pieces of the blocks, of all of them or, where they are too many, of every so-manieth."""
+    blocks = [b for b in blocks if b]
+    if not blocks:
         return b""
     try:
-        trained = zstandard.train_dictionary(limit // 2, pieces).as_bytes()
+        trained = zstandard.train_dictionary(limit // 2, blocks).as_bytes()
     except zstandard.ZstdError:
         trained = b""
-    each = max(64, (limit - len(trained)) // len(pieces))
-    middles = (p[max(0, len(p) - each) // 2 :][:each] for p in pieces)
-    return b"".join(middles)[: limit - len(trained)] + trained
+    room = limit - len(trained)
+    each = max(PIECE, room // len(blocks))
+    n = min(len(blocks), room // each)
+    chosen = [blocks[i * len(blocks) // n] for i in range(n)]
+    return b"".join(c[max(0, len(c) - each) // 2 :][:each] for c in chosen) + trained
 
 
-def sample(docs, labels, rows: int, id_col: str, text_col: str, label_col: str):
-    """Blocks of up to `rows` texts of each class, by the order of a hash of the id; null labels or
-    ids and ids with two labels are left out."""
+def labelled(labels: DataFrame, rows: int, id_col: str, label_col: str) -> list[tuple[int, int]]:
+    """(id, label) of up to `rows` ids of each class, by the order of a hash of the id; null labels or
+    ids and ids with two labels are left out. Sorted by label and id."""
     marked = (
         labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").alias("y"))
         .where("id is not null and y in (0, 1)")
@@ -160,18 +163,24 @@ def sample(docs, labels, rows: int, id_col: str, text_col: str, label_col: str):
         marked.where(F.col("y") == y).orderBy(order, "id").limit(rows).select("id", "y")
         for y in (0, 1)
     ]
-    keys = chosen[0].unionByName(chosen[1])
-    text = F.col("text").cast("binary")
-    step = F.greatest(F.lit(1), F.ceil(F.length(text) / F.lit(BLOCK * BLOCKS_PER_TEXT))) * BLOCK
-    blocks = F.transform(
+    return sorted(((r.id, r.y) for r in chosen[0].unionByName(chosen[1]).collect()), key=lambda k: k[::-1])
+
+
+def texts_of(docs: DataFrame, keys: list[tuple[int, int]], id_col: str, text_col: str) -> DataFrame:
+    """(id, y, text) of at most 2 * rows ids; of an id's different texts, the first in order."""
+    spark = docs.sparkSession
+    known = spark.createDataFrame(keys, "id long, y int")
+    chosen = id_and_text(docs, id_col, text_col).join(F.broadcast(known), "id")
+    return chosen.groupBy("id", "y").agg(F.min("text").alias("text"))
+
+
+def blocks_of(text: Column) -> Column:
+    """`BLOCKS_PER_TEXT` blocks, evenly over the whole text."""
+    raw = text.cast("binary")
+    step = F.greatest(F.lit(1), F.ceil(F.length(raw) / F.lit(BLOCK * BLOCKS_PER_TEXT))) * BLOCK
+    return F.transform(
         F.sequence(F.lit(0), F.lit(BLOCKS_PER_TEXT - 1)),
-        lambda i: F.substring(text, (i * step + 1).cast("int"), F.lit(BLOCK)),
-    )
-    return (
-        id_and_text(docs, id_col, text_col)
-        .join(F.broadcast(keys), "id")  # bounded by 2 * rows ids
-        .select("id", "y", blocks.alias("blocks"))
-        .collect()
+        lambda i: F.substring(raw, (i * step + 1).cast("int"), F.lit(BLOCK)),
     )
 
 
@@ -183,28 +192,48 @@ def fit(
     text_col: str = "text",
     label_col: str = "quality",
 ) -> Model:
-    """Fit on at most `rows` labelled texts of each class, `BLOCKS_PER_TEXT` blocks of each. Every
-    other text (by id order) goes into the dictionaries, the rest calibrates. Without labels of both
-    classes every score is the share of the one there is, or one half."""
-    found = sorted(sample(docs, labels, rows, id_col, text_col, label_col), key=lambda r: (r.y, r.id))
-    parts = {(y, side): [] for y in (0, 1) for side in (0, 1)}
-    seen = {0: 0, 1: 0}
-    for row in found:
-        raw = b"".join(bytes(b) for b in row.blocks)
-        parts[row.y, seen[row.y] % 2].append(raw)
-        seen[row.y] += 1
-    good, bad = (dictionary_of(parts[y, 0], DICTIONARY_BYTES) for y in (1, 0))
-    one = Compressors(good, bad)
-    y = np.array([c for c in (0, 1) for _ in parts[c, 1]], float)
+    """Fit on at most `rows` labelled texts of each class. Every other one (by id order) goes into the
+    dictionaries, with `BLOCKS_PER_TEXT` blocks; the rest calibrates, with the features of whole texts,
+    which tasks work out. Without labels of both classes every score is the share of the one there is, or
+    one half."""
+    keys = labelled(labels, rows, id_col, label_col)
+    sides: list[list] = [[], []]
+    for y in (0, 1):
+        for i, key in enumerate(k for k in keys if k[1] == y):
+            sides[i % 2].append(key)
+    blocks = texts_of(docs, sides[0], id_col, text_col).select("id", "y", blocks_of(F.col("text")).alias("blocks"))
+    found = sorted(blocks.collect(), key=lambda r: (r.y, r.id))
+    good, bad = (
+        dictionary_of([bytes(b) for r in found if r.y == y for b in r.blocks], DICTIONARY_BYTES) for y in (1, 0)
+    )
+    measured = texts_of(docs, sides[1], id_col, text_col)
+    measured = measured.select("id", "y", features_of(good, bad, F.col("text")).alias("x"))
+    rest = sorted(measured.collect(), key=lambda r: (r.y, r.id))
+    y = np.array([r.y for r in rest], float)
     if len(set(y)) < 2:
         constant = np.zeros(1 + FEATURES + FEATURES * (FEATURES + 1) // 2)
-        constant[0] = 0.0 if not found else 3.0 * (2 * found[-1].y - 1)
+        seen = [r.y for r in found + rest]
+        constant[0] = 0.0 if not seen else 3.0 * (2 * max(seen) - 1)
         return Model(good, bad, np.zeros(FEATURES), np.ones(FEATURES), constant)
-    x = np.array([one.features(raw) for c in (0, 1) for raw in parts[c, 1]])
+    x = np.array([r.x for r in rest])
     middle, scale = x.mean(0), x.std(0) + 1e-9
     return Model(good, bad, middle, scale, logistic(expanded(clipped((x - middle) / scale)), y))
 
 
+def features_of(good: bytes, bad: bytes, text: Column) -> Column:
+    """The features of whole texts; null counts as empty."""
+    compressors: list[Compressors] = []
+
+    @F.arrow_udf("array<double>")
+    def measured(texts: pa.Array) -> pa.Array:
+        if not compressors:
+            compressors.append(Compressors(good, bad))
+        raw = texts.cast(pa.binary()).to_pylist()
+        return pa.array([compressors[0].features(t or b"") for t in raw], pa.list_(pa.float64()))
+
+    return measured(text)
+
+
 def score_of(model: Model, text: Column) -> Column:
     """The score of a text; null counts as empty."""
     compressors: list[Compressors] = []
