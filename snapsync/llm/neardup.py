@@ -212,21 +212,28 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 def _verify(least: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = []
-            for column in (2, 3):
-                buffer, offsets = text_buffer(batch.column(column))
-                folded, starts, ends, first = words_of(buffer, offsets)
-                kmers, _, kfirst = kmers_of(span_hashes(prefix_hashes(folded), starts, ends), first)
-                sides.append([kmers[kfirst[i] : kfirst[i + 1]] for i in range(len(kfirst) - 1)])
-            found = [similarity_of(a, b, least) for a, b in zip(*sides)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.float64())],
-                ["a", "b", "similarity"],
-            )
+            sides = [text_buffer(batch.column(column)) for column in (2, 3)]
+            # Both texts of a pair are in one chunk: the hashes take many times the bytes of the texts.
+            for low, high in chunks(sides[0][1] + sides[1][1]):
+                pairs = zip(*[_kmer_rows(*side, low, high) for side in sides])
+                found = [similarity_of(a, b, least) for a, b in pairs]
+                some = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.array(found, pa.float64())],
+                    ["a", "b", "similarity"],
+                )
 
     return work
 
 
+def _kmer_rows(buffer: np.ndarray, offsets: np.ndarray, low: int, high: int) -> list[np.ndarray]:
+    """The k-mers of each of some rows."""
+    part = buffer[offsets[low] : offsets[high]]
+    folded, starts, ends, first = words_of(part, offsets[low : high + 1] - offsets[low])
+    kmers, _, kfirst = kmers_of(span_hashes(prefix_hashes(folded), starts, ends), first)
+    return [kmers[kfirst[i] : kfirst[i + 1]] for i in range(len(kfirst) - 1)]
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     one = pairs.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")

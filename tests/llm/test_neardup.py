@@ -1,11 +1,13 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from snapsync.llm import neardup
+from snapsync.llm import common, neardup
 from snapsync.llm.components import components
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -172,6 +174,36 @@ def test_alignment_equals_plain_one():
         assert found == pytest.approx(want if b and want >= 0.8 else 0.0)
 
 
+def test_memory_of_compared_pairs():
+    """It follows the chunk, not the batch; chunks neither lose nor mix up pairs."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(40)]
+    texts[3], texts[5] = "", " ".join(rng.choices(words, k=5000))
+    edited = [t.replace("w1 ", "other ", 1) for t in texts]
+    pairs = [(a, b) for a in range(40) for b in {a, (a + 1) % 40}] * 60
+    columns = [[a for a, _ in pairs], [b for _, b in pairs]]
+    batch = pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns), pa.array([texts[a] for a, _ in pairs]), pa.array([edited[b] for _, b in pairs])],
+        ["a", "b", "text_a", "text_b"],
+    )
+    common._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        found = pa.Table.from_batches(neardup._verify(0.8)([batch.slice(1), batch.slice(0, 0)]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert batch.nbytes > 16 << 20 and peak < 100 << 20
+    rows = found.to_pylist()
+    assert [(r["a"], r["b"]) for r in rows] == pairs[1:]
+    for r in rows[:100]:
+        want = neardup.similarity_of(*[
+            neardup._kmer_rows(*common.text_buffer(pa.array([t])), 0, 1)[0] for t in (texts[r["a"]], edited[r["b"]])
+        ])
+        assert r["similarity"] == want and (want > 0) == (r["a"] == r["b"] != 3)
+
+
 def test_null_repeated_and_clashing(documents, spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "q r s t u v"), (None, "lone text")]
     docs = documents(rows).withColumnRenamed("lang", "row").withColumnRenamed("source", "node")
