@@ -37,18 +37,21 @@ def row_digest(*columns) -> tuple[Column, Column]:
     )
 
 
-def digest_tree(rows: DataFrame, *values) -> DataFrame:
+def digest_tree(rows: DataFrame, *values, lowest: str = "object") -> DataFrame:
     """(level, source_db, class_id, type, short_name, n, low, high): digests of the rows' values for each
-    object, class and source. Keys below a level are null. Rows are summed up before they are moved."""
+    object, class and source, or down to another level. Keys below a level are null. Rows are summed up
+    for all levels before they are moved, and moved once."""
     low, high = row_digest(*KEY, *values)
-    objects = rows.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(low).alias("low"), F.sum(high).alias("high")
-    )
-    sets = [[F.col(c) for c in keys] for keys in LEVELS.values()]
+    hashed = rows.select(*KEY, low.alias("low"), high.alias("high"))
+    levels = list(LEVELS)[: list(LEVELS).index(lowest) + 1]
+    sets = [[F.col(c) for c in LEVELS[name]] for name in levels]
     depth = F.grouping_id(*KEY)
     level = F.when(depth == 0, "object").when(depth == 3, "class").otherwise("source")
-    return objects.groupingSets(sets, *KEY).agg(
-        *[F.sum(c).alias(c) for c in DIGEST], level.alias("level")
+    return hashed.groupingSets(sets, *KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("low").alias("low"),
+        F.sum("high").alias("high"),
+        level.alias("level"),
     ).select("level", *KEY, *DIGEST)
 
 
@@ -79,14 +82,16 @@ def sums_type() -> str:
     return "struct<n:bigint,low:bigint,high:bigint>"
 
 
-def pull_digests(t: Tables, snapshot: DataFrame, package_name: str | None = None) -> DataFrame:
+def pull_digests(
+    t: Tables, snapshot: DataFrame, package_name: str | None = None, lowest: str = "object"
+) -> DataFrame:
     """Digest trees to keep after a full pull: `side` is `catalog` (names and times of the source's
     objects) or `files` (paths and text hashes of the snapshot). No text of the source is read."""
     files = snapshot
     if "text_sha" not in snapshot.columns:
         files = snapshot.withColumn("text_sha", text_sha(F.col("text")))
-    catalog = digest_tree(catalog_objects(t, package_name), "modified")
-    tree = digest_tree(files, "path", "text_sha")
+    catalog = digest_tree(catalog_objects(t, package_name), "modified", lowest=lowest)
+    tree = digest_tree(files, "path", "text_sha", lowest=lowest)
     return catalog.withColumn("side", F.lit("catalog")).unionByName(
         tree.withColumn("side", F.lit("files"))
     )
@@ -145,7 +150,9 @@ def pull_changed_classes(
     needs `pull_all`. Without kept digests (an empty table) every class is pulled.
     """
     files = snapshot.select(*SNAPSHOT)
-    changed = written(changed_classes(pull_digests(t, snapshot, package_name), kept), "classes")
+    # Compared level by level: written, so that rows are hashed once, and without objects.
+    now = written(pull_digests(t, snapshot, package_name, lowest="class"), "digests")
+    changed = written(changed_classes(now, kept), "classes")
     stay = join_null_safe(files, changed, CLASS, "left_anti")
     give_way = join_null_safe(files, changed, CLASS, "left_semi")
     return pull_all(of_classes(t, changed), give_way, package_name).unionByName(stay)

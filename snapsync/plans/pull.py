@@ -77,9 +77,11 @@ def pull_all(t: Tables, snapshot: DataFrame, package_name: str | None = None) ->
     """The snapshot after a full pull: files of unknown kind and objects the source no longer has
     are gone, the others hold the source's texts. Packages have no texts to pull and stay."""
     known = diff.drop_unknown(snapshot.select(*SNAPSHOT))
-    # Keys are narrow and used once per kind: written, so that catalogue and tree are read once.
-    keys = predicates.by_keys(catalog.catalog_objects(t, package_name), known)
-    found = written(keys.select(*OBJECT_KEY).distinct(), "keys")
+    # Keys are narrow and used once per kind: written, so that catalogue and tree are read once. They
+    # are met by an aggregate, as a semi join would go below the union of the catalogue's kinds and
+    # read and type the tree once for each of them. As in a join, null is no key.
+    sides = diff.diff_indicator(catalog.catalog_objects(t, package_name), known, OBJECT_KEY)
+    found = written(sides.where("side = 'both'").select(*OBJECT_KEY).dropna(), "keys")
     packages = predicates.by_keys(known.where("type = 'PACKAGE'"), found)
     return _with_text(export_parts(t, found)).unionByName(packages)
 

@@ -25,6 +25,8 @@ from snapsync.operators.sizing import written
 from snapsync.settings import Settings
 
 ID = ("source_db", "id")
+# Up to so many ids of methods the optimizer chooses how lines meet them; they may be broadcast.
+FEW_METHODS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -137,9 +139,11 @@ def _above_common_floor(df: DataFrame, bounds: DataFrame, settings: Settings) ->
     return df.where(F.col("modified") >= lowest)
 
 
-def with_method_texts(t: Tables, methods: DataFrame) -> DataFrame:
-    """Five rows per method, one for each part; a part without lines has the text ''."""
-    lines = t.lines.join(methods.select(*ID).distinct(), list(ID), "left_semi")
+def with_method_texts(t: Tables, methods: DataFrame, many=False) -> DataFrame:
+    """Five rows per method, one for each part; a part without lines has the text ''. The ids of `many`
+    methods are hashed in their shuffle's partitions, so that the lines beside them are not sorted."""
+    ids = methods.select(*ID).distinct()
+    lines = t.lines.join(ids.hint("shuffle_hash") if many else ids, list(ID), "left_semi")
     texts = assemble_text(lines, [*ID, "type"], ties=t.line_ties)
     parts = methods.withColumn("_part", F.explode(part_types())).select(
         *ID,
@@ -385,5 +389,6 @@ def trigger_texts(t: Tables, keys: DataFrame, on=NAME_KEY) -> DataFrame:
 
 def method_texts(t: Tables, keys: DataFrame, on=NAME_KEY) -> DataFrame:
     """Part texts of the methods with the given keys; empty parts are null."""
-    rows = with_method_texts(t, by_keys(t.methods, keys, on))
+    methods = _chosen(by_keys(t.methods, keys, on))
+    rows = with_method_texts(t, methods, many=methods.count() > FEW_METHODS)
     return rows.withColumn("text", F.nullif("text", F.lit("")))

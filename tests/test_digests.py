@@ -8,8 +8,10 @@ from catalog_data import tables
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from snapsync.plans import digests
+from snapsync.operators.sizing import written
+from snapsync.plans import digests, pull
 from snapsync.plans.pull import SNAPSHOT, pull_all, snapshot_of_files
+from snapsync.sources import catalog
 from snapsync.sources.catalog import catalog_objects
 
 COLUMNS = "source_db string, class_id string, type string, short_name string, v string"
@@ -42,6 +44,16 @@ def test_levels_add_up(spark):
     assert tuples(shuffled) == sorted(map(tuple, found), key=repr)
 
 
+def test_rows_are_moved_once(spark):
+    rows = plain_rows(200, 4)
+    plan = tree(spark, rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    for lowest in digests.LEVELS:
+        part = digests.digest_tree(spark.createDataFrame(rows, COLUMNS), "v", lowest=lowest)
+        levels = list(digests.LEVELS)[: list(digests.LEVELS).index(lowest) + 1]
+        assert tuples(part) == tuples(tree(spark, rows).where(F.col("level").isin(levels)))
+
+
 @pytest.mark.parametrize("level", ["source", "class", "object"])
 def test_differing_keys(spark, level):
     rows = plain_rows(60, 3)
@@ -120,3 +132,55 @@ def test_other_sources_are_not_read(spark, tmp_path):
     kept = cut.lines.select("source_db").distinct().collect()
     assert [r.source_db for r in kept] == ["z"]
     assert both.lines.select("source_db").distinct().count() == 2
+
+
+def kept_steps(monkeypatch, *modules):
+    """What the modules write from now on: (name, DataFrame before it is written)."""
+    steps = []
+
+    def noted(df, name):
+        steps.append((name, df))
+        return written(df, name)
+
+    for module in modules:
+        monkeypatch.setattr(module, "written", noted)
+    return steps
+
+
+def test_tree_is_read_once(spark, tmp_path, monkeypatch):
+    """Not once for each kind of the catalogue; null is no key on either side."""
+    t = tables(spark)
+    nameless = t.methods.limit(1).withColumns({"class_id": F.lit(None).cast("string")})
+    t = replace(t, methods=t.methods.unionByName(nameless))
+    files = files_of(spark, catalog_objects(t))
+    stray = files.where("type = 'METHOD'").limit(1).withColumn("class_id", F.lit(None).cast("string"))
+    files.unionByName(stray).write.parquet(str(tmp_path / "tree"))
+    stored = spark.read.parquet(str(tmp_path / "tree"))
+    steps = kept_steps(monkeypatch, pull)
+    found = pull_all(t, stored)
+    (keys,) = [df for name, df in steps if name == "keys"]
+    assert keys._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    joined = pull.predicates.by_keys(catalog_objects(t), stored).select(*pull.OBJECT_KEY).distinct()
+    assert tuples(keys) == tuples(joined) != []
+    assert found.where("class_id is null").isEmpty()
+
+
+def test_objects_are_not_compared(spark, monkeypatch):
+    """The digests of a new pull end at the classes, and are taken once."""
+    t = second(tables(spark))
+    pulled = pull_all(t, files_of(spark, catalog_objects(t)))
+    kept = digests.pull_digests(t, pulled)
+    steps = kept_steps(monkeypatch, digests)
+    digests.pull_changed_classes(t, pulled, kept)
+    (now,) = [df for name, df in steps if name == "digests"]
+    assert {r.level for r in now.select("level").distinct().collect()} == {"source", "class"}
+
+
+def test_texts_of_many_methods(spark, monkeypatch):
+    t = second(tables(spark))
+    files = files_of(spark, catalog_objects(t))
+    want = tuples(pull_all(t, files))
+    monkeypatch.setattr(catalog, "FEW_METHODS", 0)
+    found = pull_all(t, files)
+    assert tuples(found) == want
+    assert "ShuffledHashJoin" in found._jdf.queryExecution().executedPlan().toString()
