@@ -3,14 +3,17 @@
 Every string of `length` bytes has an anchor: its k-gram with the smallest hash. Equal strings have
 equal anchors at the same place, so anchors that occur once belong to strings that occur once, and
 anchors whose whole context (all strings that they anchor) is equal need no closer look: all but the
-first one repeat. What is left, the different contexts of one anchor, meets in one partition. There
+first one repeat. What is left, the different contexts of one anchor, meets in one task. There
 a suffix array is built by prefix doubling, and a stack scan of its common-prefix intervals lists the
 maximal repeats: strings whose occurrences differ in the byte before them and in the byte after.
-Every occurrence of a maximal repeat but the first is removed.
+Every occurrence of a maximal repeat but the first is removed. Equal strings never have different
+anchors, so that an array holds as many anchors as make up a chunk; an anchor with more contexts than
+that is divided by what its strings have in common around it.
 """
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    CHUNK_BYTES,
     LAST,
     chunks,
     id_and_text,
@@ -34,7 +38,7 @@ LENGTH, K = 100, 24
 _KNOWN = 1 << 7  # mark in a packed place: surely a repeat of an earlier one
 ANCHORS = "hash long, context long, rank long, row long, place long"
 WANTED = "row long, hash long, rank long, place long, again boolean"
-CONTEXTS = "hash long, rank long, row long, start long, context binary"
+CONTEXTS = "hash long, rank long, row long, start long, anchor long, context binary"
 REMOVED = "row long, start long, stop long"
 
 
@@ -157,23 +161,31 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts, in the second column, have about CHUNK_BYTES together."""
+    for batch in batches:
+        for low, high in chunks(text_buffer(batch.column(1))[1]):
+            yield batch.slice(low, high - low)
+
+
 def _cut(length: int):
     """Contexts out of the texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in _slices(batches):
             out: list[tuple] = []
-            for row, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for row, text, wanted in zip(*(part.column(i).to_pylist() for i in range(3))):
                 raw = text.encode("utf-8", "surrogatepass")
                 places = np.array([w["place"] for w in wanted], np.int64)
                 starts, stops = _spans(places, length)
-                for w, a, b in zip(wanted, starts.tolist(), stops.tolist()):
-                    out.append((w["hash"], w["rank"], row, a, raw[a:b]))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            columns = list(zip(*out)) or [()] * 5
+                at = ((places >> 16) - starts).tolist()
+                for w, a, b, anchor in zip(wanted, starts.tolist(), stops.tolist(), at):
+                    out.append((w["hash"], w["rank"], row, a, anchor, raw[a:b]))
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            columns = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-                ["hash", "rank", "row", "start", "context"],
+                ["hash", "rank", "row", "start", "anchor", "context"],
             )
 
     return work
@@ -257,32 +269,126 @@ def maximal_repeats(contexts: list[bytes], length: int):
                 yield size, [(int(owner[s]), int(place[s])) for s in found[a : b + 1]]
 
 
-def _repeat(length: int):
+def _whole_anchors(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Rows in the order of their anchors' hashes, cut between anchors: several anchors with `limit`
+    bytes of contexts at most, or a single one."""
+    held: list[pa.RecordBatch] = []
+    for batch in chain(batches, [None]):
+        if batch is None:
+            whole, held = held, []
+        elif batch.num_rows == 0:
+            continue
+        else:
+            hashes = batch.column(0).to_numpy()
+            begins = not held or held[-1].column(0)[-1].as_py() != hashes[0]
+            edges = np.flatnonzero(np.append(begins, hashes[1:] != hashes[:-1]))
+            if not len(edges):
+                held.append(batch)
+                continue
+            whole, held = [*held, batch.slice(0, edges[-1])], [batch.slice(edges[-1])]
+        if not whole:
+            continue
+        table = pa.Table.from_batches(whole).combine_chunks()
+        hashes = table.column(0).to_numpy()
+        edges = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+        edges = np.append(edges, len(hashes))
+        _, offsets = text_buffer(table.column("context"))
+        for i, j in chunks(offsets[edges], limit):
+            yield table.slice(edges[i], edges[j] - edges[i])
+
+
+def _hashes(buffer, starts, stops, at, low: int, high: int, length: int):
+    """Hashes of pieces and of the bytes that their strings with `low` to `high` bytes before the
+    anchor have in common."""
+    outer, inner = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    edges = np.append(0, np.cumsum(stops - starts))
+    for i, j in chunks(edges):
+        own = edges[i : j + 1] - edges[i]
+        moved = np.repeat(starts[i:j] - own[:-1], np.diff(own))
+        sums = prefix_hashes(buffer[np.arange(own[-1]) + moved])
+        where = at[i:j] - starts[i:j] + own[:-1]
+        outer[i:j] = span_hashes(sums, own[:-1], own[1:])
+        inner[i:j] = span_hashes(sums, where - low, where - high + length)
+    return outer, inner
+
+
+def divided(buffer: np.ndarray, offsets: np.ndarray, at: np.ndarray, length: int, k: int, limit: int):
+    """The contexts of one anchor, which stands at `at` in the buffer, divided into pieces.
+
+    The strings with the anchor in a range of places hold some bytes around it; pieces that differ
+    there have no string in common, and of equal pieces all but the first one repeat. Ranges are
+    halved until the pieces with the same bytes have `limit` bytes together at most. A range of one
+    place has strings that are equal as a whole, so that this ends. Gives pairs of such repeats and a
+    list of pieces to be compared, all as rows of (context, start, stop)."""
+    begins, ends = offsets[:-1], offsets[1:]
+    width, whole = length - k, np.arange(len(at))
+    ranges = [(whole, 0, width // 2), (whole, width // 2 + 1, width)]
+    while ranges:
+        own, low, high = ranges.pop()
+        least = np.maximum(low, at[own] + length - ends[own])
+        most = np.minimum(high, at[own] - begins[own])
+        some = least <= most
+        own, least, most = own[some], least[some], most[some]
+        starts, stops = at[own] - most, at[own] - least + length
+        outer, inner = _hashes(buffer, starts, stops, at[own], low, high, length)
+        outer = mix(outer + (least << 8 | most).astype(np.uint64))
+        order = np.lexsort((own, outer, inner))
+        pieces, outer, inner = np.stack([own, starts, stops])[:, order], outer[order], inner[order]
+        new_group = np.append(True, inner[1:] != inner[:-1])[: len(own)]
+        new = new_group | np.append(True, outer[1:] != outer[:-1])[: len(own)]
+        group = (np.cumsum(new_group) - 1)[new]
+        again, pieces = pieces[:, ~new], pieces[:, new]
+        pieces = pieces[:, np.lexsort((pieces[0], group))]  # the first occurrence is the smallest again
+        edges = np.append(np.flatnonzero(new_group[new]), pieces.shape[1])
+        sizes = np.append(0, np.cumsum(pieces[2] - pieces[1]))[edges]
+        several, large = np.diff(edges) > 1, np.diff(sizes) > limit
+        for i in np.flatnonzero(several & large).tolist():
+            part, middle = pieces[0, edges[i] : edges[i + 1]], (low + high) // 2
+            ranges += [(part, low, middle), (part, middle + 1, high)]
+        small = np.flatnonzero(several & ~large)
+        sizes = np.append(0, np.cumsum(np.diff(sizes)[small]))
+        parts = [
+            np.concatenate([pieces[:, edges[g] : edges[g + 1]] for g in small[i:j].tolist()], axis=1)
+            for i, j in chunks(sizes, limit)
+        ]
+        yield again, parts
+
+
+def _repeat(length: int, k: int, limit: int = CHUNK_BYTES):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        # Rows come in the order of (rank, row, start), so that the first occurrence is the smallest.
-        whole = pa.Table.from_batches(parts).sort_by(
-            [("rank", "ascending"), ("row", "ascending"), ("start", "ascending")]
-        )
-        rows, starts = (whole.column(c).to_numpy() for c in ("row", "start"))
-        contexts = whole.column("context").to_pylist()
-        best: dict[tuple[int, int], int] = {}
-        for size, occurrences in maximal_repeats(contexts, length):
-            first = min(occurrences)
-            for one in occurrences:
-                if one != first and best.get(one, 0) < size:
-                    best[one] = size
-        own = np.array([c for c, _ in best], np.int64)
-        start = starts[own] + np.array([p for _, p in best], np.int64) if best else own
-        stop = start + np.fromiter(best.values(), np.int64, len(best))
-        for i in range(0, len(own), 50_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[own[i : i + 50_000]])]
-                + [pa.array(c[i : i + 50_000]) for c in (start, stop)],
-                ["row", "start", "stop"],
-            )
+        # Rows come in the order of (hash, rank, row, start), so that the first occurrence is the smallest.
+        for part in _whole_anchors(batches, limit):
+            rows, starts, at = (part.column(c).to_numpy() for c in ("row", "start", "anchor"))
+            buffer, offsets = text_buffer(part.column("context"))
+            shift = starts - offsets[:-1]
+            if len(buffer) <= limit:
+                nothing, every = np.zeros((3, 0), np.int64), np.arange(len(rows))
+                work_on = iter([(nothing, [np.stack([every, offsets[:-1], offsets[1:]])])])
+            else:
+                work_on = divided(buffer, offsets, offsets[:-1] + at, length, k, limit)
+            for again, parts in work_on:
+                found = [again]
+                for own, begins, ends in parts:
+                    contexts = [
+                        buffer[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist())
+                    ]
+                    best: dict[tuple[int, int], int] = {}
+                    for size, occurrences in maximal_repeats(contexts, length):
+                        first = min(occurrences)
+                        for one in occurrences:
+                            if one != first and best.get(one, 0) < size:
+                                best[one] = size
+                    piece, place = np.array([*best], np.int64).reshape(-1, 2).T
+                    start = begins[piece] + place
+                    stop = start + np.fromiter(best.values(), np.int64, len(best))
+                    found.append(np.stack([own[piece], start, stop]))
+                own, start, stop = np.concatenate(found, axis=1)
+                for i in range(0, len(own), 50_000):
+                    o = own[i : i + 50_000]
+                    spans = (c[i : i + 50_000] + shift[o] for c in (start, stop))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in (rows[o], *spans)], ["row", "start", "stop"]
+                    )
 
     return work
 
@@ -298,10 +404,11 @@ KEPT = "row long, removed array<struct<start:long,stop:long>>, n_removed long, k
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         spans, counts, shas = [], [], []
         lists = batch.column(2)
-        flat, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        edges = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+        flat = lists.flatten()
         all_starts, all_stops = (flat.field(i).to_numpy() for i in range(2))
         for i, text in enumerate(batch.column(1).to_pylist()):
             raw = text.encode("utf-8", "surrogatepass")
@@ -361,7 +468,11 @@ def repeated_bytes(
     contexts = texts.join(wanted, "row").select("row", "text", "wanted").mapInArrow(
         _cut(length), CONTEXTS
     )
-    found = contexts.repartition(parts, "hash").mapInArrow(_repeat(length), REMOVED)
+    found = (
+        contexts.repartition(parts, "hash")
+        .sortWithinPartitions("hash", "rank", "row", "start")
+        .mapInArrow(_repeat(length, k), REMOVED)
+    )
     before = F.shiftright("place", 8).bitwiseAND(F.lit(0x7F))
     after = F.col("place").bitwiseAND(F.lit(0xFF))
     start = F.shiftright("place", 16) - before

@@ -1,6 +1,8 @@
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from snapsync.llm import repeats
@@ -95,3 +97,55 @@ def test_maximal_repeats_have_all_occurrences():
             window = raw[p : p + 4]
             if sum(r.startswith(window, q) for r in contexts for q in range(len(r))) > 1:
                 assert any(window in string for string in found)
+
+
+def one_anchor(rng, n):
+    """Rows of contexts of one anchor: a common passage around it between different bytes, and the
+    number of bytes that plain search covers."""
+    passage = "".join(rng.choices("ijklmnop", k=130)).encode()
+    rows, seen, covered = [], set(), 0
+    for row in range(n):
+        left, right = ("".join(rng.choices("abcdefgh", k=23)).encode() for _ in range(2))
+        context = left + passage + right
+        cover = [False] * len(context)
+        for i in range(len(context) - 99):
+            window = hash(context[i : i + 100])
+            if window in seen:
+                cover[i : i + 100] = [True] * 100
+            seen.add(window)
+        covered += sum(cover)
+        rows.append((7, row, row, 1000, 76, context))
+    return rows, covered
+
+
+def contexts_in_batches(rows, size):
+    names = ["hash", "rank", "row", "start", "anchor", "context"]
+    for i in range(0, len(rows), size):
+        yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows[i : i + size]))))
+
+
+def test_memory_of_an_anchor_with_many_contexts():
+    """1.6 MB of contexts in a task whose chunks have 128 KB; as one array they took 141 MB."""
+    rows, covered = one_anchor(random.Random(9), 9_000)
+    work = repeats._repeat(100, 24, 1 << 17)
+    list(work(contexts_in_batches(rows[:10], 10)))  # tables that stay
+    tracemalloc.start()
+    found = pa.Table.from_batches(work(contexts_in_batches(rows, 1_000)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    spans = {}
+    for row, start, stop in zip(*(c.to_pylist() for c in found.columns)):
+        spans.setdefault(row, set()).update(range(start, stop))
+    assert sum(map(len, spans.values())) == covered
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh é"])
+@pytest.mark.parametrize("limit", [1, 700])
+def test_divided_anchors_equal_plain_search(documents, monkeypatch, alphabet, limit):
+    monkeypatch.setattr(repeats._repeat, "__defaults__", (limit,))
+    rng = random.Random(limit)
+    passage = "".join(rng.choices("ijklmnop", k=180))
+    texts = made(rng, alphabet, 60)
+    texts += ["".join(rng.choices("qrst", k=40)) + passage + "".join(rng.choices("qrst", k=90)) for _ in range(40)]
+    check(repeats.repeated_bytes(documents(texts)), texts)
